@@ -176,10 +176,17 @@ class Prepared:
 
 def prepare(base: DataFrame, impute_columns: Sequence[str], winsor_columns: Sequence[str],
             winsor_method: str = "exact", rel_err: float = 0.01,
-            dropna_columns: Optional[Sequence[str]] = ("payment_types",)) -> Prepared:
-    """dropna -> keyed split -> mean imputation and winsorising, both fitted on train."""
+            dropna_columns: Optional[Sequence[str]] = ("payment_types",), persist: bool = True) -> Prepared:
+    """dropna -> keyed split -> mean imputation and winsorising, both fitted on train.
+
+    The split base table is written once to the checkpoint folder (``persist``): the
+    fits and the output then read one row per labelled order instead of re-running the
+    feature build over the fact tables for every job."""
     df = dropna_subset(base, dropna_columns) if dropna_columns else base
     df = keyed_split(df)
+    if persist:
+        from orderlens.sources.files import materialize
+        df = materialize(df, "split-base")
     imputer = MeanImputer(impute_columns).fit(only(df, TRAIN))
     filled = imputer.transform(df)
     wins = Winsorizer(winsor_columns, method=winsor_method, rel_err=rel_err).fit(only(filled, TRAIN))

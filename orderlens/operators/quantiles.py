@@ -88,7 +88,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
                     if vmin == vmax:
                         t["value"] = vmin
                     else:
-                        # the bucket's own span: rows of this bucket are exactly those in (vmin - eps, vmax]
+                        # next range: (previous cut, bucket max], which holds exactly this bucket's rows
                         cl = cuts.get(t["tid"], [])
                         t["lo"] = cl[b - 1] if b > 0 else t["lo"]
                         t["hi"] = vmax
@@ -99,12 +99,22 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 
     pending = [t for t in targets if t["value"] is None]
     if pending:
-        t_df = spark.createDataFrame([(t["tid"], t["cid"], t["lo"], t["hi"], t["k"] - t["below"] + 1) for t in pending],
-                                     "tid int, cid int, lo double, hi double, pos long")
+        # targets sharing a candidate range (e.g. every rank of a small column) share one
+        # row numbering, so rows are not repeated per target
+        groups = {}
+        for t in pending:
+            groups.setdefault((t["cid"], t["lo"], t["hi"], t["below"]), []).append(t)
+        g_rows, wanted = [], {}
+        for gid, ((cid, lo, hi, below), ts) in enumerate(groups.items()):
+            g_rows.append((gid, cid, lo, hi))
+            for t in ts:
+                wanted.setdefault(gid, {})[t["k"] - below + 1] = t["tid"]
+        g_df = spark.createDataFrame(g_rows, "tid int, cid int, lo double, hi double")
+        pos = spark.createDataFrame([(g, p) for g, ps in wanted.items() for p in ps], "tid int, rn int")
         w = Window.partitionBy("tid").orderBy("v")
-        for r in (in_range(t_df).withColumn("rn", F.row_number().over(w))
-                  .where(F.col("rn") == F.col("pos")).select("tid", "v").collect()):
-            targets[r["tid"]]["value"] = r["v"]
+        ranked = in_range(g_df).withColumn("rn", F.row_number().over(w))
+        for r in ranked.join(F.broadcast(pos), ["tid", "rn"]).select("tid", "rn", "v").collect():
+            targets[wanted[r["tid"]][r["rn"]]]["value"] = r["v"]
 
     out = {}
     by_col = {}

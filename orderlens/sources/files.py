@@ -59,6 +59,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into a fresh folder under the cluster's checkpoint folder and
+    read it back: cuts the lineage (a lost executor re-reads files instead of replaying
+    the plan) and lets later jobs prune columns."""
+    from orderlens.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_tables(spark: SparkSession, folder: str, fmt: str = "csv", with_reviews: bool = True) -> Tables:
     """Load ``orders.csv``, ``order_items.csv`` ... (or ``.parquet``) from one folder."""
     out = {}
