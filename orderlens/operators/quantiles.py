@@ -3,8 +3,10 @@
 Spark's exact ``percentile`` aggregate keeps a value -> count map per group, which for
 a continuous column grows with the data. Here each requested rank is found by narrowing:
 
-1. count the non-null values of every column (one aggregate);
-2. while a target rank's candidate range still holds more than ``max_candidates`` rows,
+1. count the non-null values of every column (one aggregate); when every column has at
+   most ``max_candidates`` values, Spark's exact ``percentile`` aggregate (whose value map
+   is then bounded) answers directly;
+2. otherwise, while a target rank's candidate range still holds more than ``max_candidates`` rows,
    cut the range at approximate quantiles (``percentile_approx``), count the rows per
    cut bucket (a partially combined aggregate, output ``fanout`` rows per target), and
    keep only the bucket holding the rank; a bucket of one repeated value ends the search;
@@ -39,6 +41,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     n = [int(counts[f"n{i}"]) for i in range(len(columns))]
 
+    if max(n, default=0) <= max_candidates:
+        # every column is small enough that the exact aggregate's value map is bounded
+        row = df.agg(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(f"q{i}")
+                       for i, c in enumerate(columns)]).first()
+        return {c: (list(row[f"q{i}"]) if n[i] else [None for _ in probs]) for i, c in enumerate(columns)}
+
     # targets: one per distinct 0-based rank needed per column
     targets = []  # dict(tid, cid, k, lo, hi, below, size, value)
     for cid in range(len(columns)):
@@ -109,12 +117,23 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             g_rows.append((gid, cid, lo, hi))
             for t in ts:
                 wanted.setdefault(gid, {})[t["k"] - below + 1] = t["tid"]
-        g_df = spark.createDataFrame(g_rows, "tid int, cid int, lo double, hi double")
-        pos = spark.createDataFrame([(g, p) for g, ps in wanted.items() for p in ps], "tid int, rn int")
         w = Window.partitionBy("tid").orderBy("v")
-        ranked = in_range(g_df).withColumn("rn", F.row_number().over(w))
-        for r in ranked.join(F.broadcast(pos), ["tid", "rn"]).select("tid", "rn", "v").collect():
-            targets[wanted[r["tid"]][r["rn"]]]["value"] = r["v"]
+        if all(lo is None and hi is None for _, _, lo, hi in g_rows):
+            # no column was narrowed: rank each column whole, no targets table to ship
+            ranked = long.withColumnRenamed("cid", "tid").withColumn("rn", F.row_number().over(w))
+            cond = None
+            for gid, cid, _, _ in g_rows:
+                c = (F.col("tid") == cid) & F.col("rn").isin(list(wanted[gid]))
+                cond = c if cond is None else cond | c
+            gid_of = {cid: gid for gid, cid, _, _ in g_rows}
+            for r in ranked.where(cond).select("tid", "rn", "v").collect():
+                targets[wanted[gid_of[r["tid"]]][r["rn"]]]["value"] = r["v"]
+        else:
+            g_df = spark.createDataFrame(g_rows, "tid int, cid int, lo double, hi double")
+            pos = spark.createDataFrame([(g, p) for g, ps in wanted.items() for p in ps], "tid int, rn int")
+            ranked = in_range(g_df).withColumn("rn", F.row_number().over(w))
+            for r in ranked.join(F.broadcast(pos), ["tid", "rn"]).select("tid", "rn", "v").collect():
+                targets[wanted[r["tid"]][r["rn"]]]["value"] = r["v"]
 
     out = {}
     by_col = {}
