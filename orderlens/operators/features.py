@@ -115,6 +115,8 @@ def payment_aggregates(payments: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("payment_type")).alias("payment_types"),
         F.count("payment_value").alias("_n_values"),
         F.count(F.lit(1)).alias("_n_rows"),
+        # money in integer micro-units: an exact, order-independent sum for the customer mean
+        F.sum(F.round(F.col("payment_value") * 1_000_000).cast("bigint")).alias("_micro_sum"),
     )
     return agg.withColumn("nbr_payments_used", F.size("payment_types").cast("bigint"))
 
@@ -127,15 +129,17 @@ def customer_value(orders: DataFrame, pay_agg: DataFrame, per_order: bool = Fals
     ``per_order=True`` gives the documented meaning: distinct orders, mean order payment.
     """
     o = orders.select("order_id", "customer_id")
-    j = o.join(pay_agg.select("order_id", "order_payment_value", "_n_values", "_n_rows"), "order_id", "left")
+    j = o.join(pay_agg.select("order_id", "order_payment_value", "_n_values", "_n_rows", "_micro_sum"),
+               "order_id", "left")
     if per_order:
         return j.groupBy("customer_id").agg(
             F.avg("order_payment_value").alias("avg_cust_value"),
             F.count_distinct("order_id").alias("Num_orders"),
         )
     rows = F.when(F.col("order_id").isNull(), 0).otherwise(F.greatest(F.coalesce(F.col("_n_rows"), F.lit(0)), F.lit(1)))
+    # exact micro-unit total divided once: the correctly rounded mean, whatever the row order
     return j.groupBy("customer_id").agg(
-        safe_ratio(F.sum("order_payment_value"), F.sum("_n_values")).alias("avg_cust_value"),
+        safe_ratio(F.sum("_micro_sum").cast("double"), F.sum("_n_values") * F.lit(1e6)).alias("avg_cust_value"),
         F.sum(rows).cast("bigint").alias("Num_orders"),
     )
 
@@ -175,7 +179,7 @@ def order_features(tables: Tables, start: Optional[str] = None, end: Optional[st
     cust = customer_value(cust_orders, pays, per_order=per_order_customer)
 
     j = (timed.join(items, "order_id", "left")
-         .join(pays.drop("_n_values", "_n_rows"), "order_id", "left")
+         .join(pays.drop("_n_values", "_n_rows", "_micro_sum"), "order_id", "left")
          .join(cust, "customer_id", "left"))
     return j.select(
         "order_id",

@@ -70,9 +70,17 @@ timef AS (
          month(order_purchase_timestamp) as order_month,
          quarter(order_purchase_timestamp) as order_quarter
   from b_orders),
-cust AS (
-  select o.customer_id, avg(p.payment_value) as avg_cust_value, count(o.order_id) as Num_orders
+cust0 AS (
+  select o.customer_id, sum(cast(round(p.payment_value * 1000000) as hugeint)) as s, count(p.payment_value) as n,
+         count(o.order_id) as Num_orders
   from b_orders o left join b_payments p on o.order_id = p.order_id group by o.customer_id),
+cust AS (
+  select customer_id, Num_orders,
+         case when n = 0 then null else cast(s as double) / (n * 1000000.0) end as avg_cust_value,
+         case when n = 0 then null else cast(s as double) / (n * 1000000.0) end as acv_raw,
+         case when n = 0 then null
+              else sign(s) * ((2 * abs(s) + n) // (2 * n)) / 1000000.0 end as acv_r
+  from cust0),
 itemf AS (
   select o.order_id, sum(i.price) as total_item_price, max(i.order_item_id) as order_item_count,
          count(distinct i.product_id) as order_diversity,
@@ -102,7 +110,7 @@ feats_all AS (
          it.order_diversity, it.Shipping_Cost_Percentage, t.order_status, c.avg_cust_value, c.Num_orders,
          pr.total_product_category, pr.order_volume_cm3, pr.order_weight_kg, pr.avg_prod_name_lenght,
          pr.avg_prod_description_lenght, pf.order_payment_value, pf.nbr_installments, pf.nbr_payments_used,
-         pt.payment_types, op.order_price, pr.avg_product_photos_qty,
+         pt.payment_types, op.order_price, pr.avg_product_photos_qty, c.acv_raw, c.acv_r,
          case when pr.order_id is null then 0 else 1 end as has_product
   from timef t
   left join itemf it on t.order_id = it.order_id
@@ -154,7 +162,14 @@ prepared AS (select f.* replace ({_clip_exprs()}) from filled f, bounds q)
 PRELUDE = "WITH " + BINDING + "," + DERIVED + "," + PREP
 
 
+def r6_plain(x: str) -> str:
+    return f"round(cast({x} as double), 6)"
+
+
 def r6(x: str) -> str:
+    if x == "avg_cust_value":
+        # an unmodified customer mean is rounded exactly from its rational (ties half up)
+        return f"(case when {x} = acv_raw then acv_r else round(cast({x} as double), 6) end)"
     return f"round(cast({x} as double), 6)"
 
 
@@ -196,7 +211,7 @@ def _profile_sql() -> str:
 
 
 def _means_sql() -> str:
-    parts = [f"select '{c}' as column_name, {r6(c)} as mean from means" for c in IMPUTE_COLUMNS]
+    parts = [f"select '{c}' as column_name, {r6_plain(c)} as mean from means" for c in IMPUTE_COLUMNS]
     return " union all ".join(parts)
 
 
@@ -262,8 +277,8 @@ select review_id, order_id, cast(review_score as bigint) as review_score, review
 select 'raw' as stage, count(distinct order_id) as n_orders, count(distinct review_id) as n_reviews from b_reviews
 union all select 'latest', count(distinct order_id), count(distinct review_id) from latest
 union all select 'unique', count(distinct order_id), count(distinct review_id) from uniq""")
-    q["customer_value"] = _q("""
-select customer_id, round(avg_cust_value, 6) as avg_cust_value, cast(Num_orders as bigint) as Num_orders from cust""")
+    q["customer_value"] = _q(f"""
+select customer_id, {r6("avg_cust_value")} as avg_cust_value, cast(Num_orders as bigint) as Num_orders from cust""")
     q["order_item_features"] = _q("""
 select order_id, round(total_item_price, 6) as total_item_price, cast(order_item_count as bigint) as order_item_count,
        cast(order_diversity as bigint) as order_diversity, round(Shipping_Cost_Percentage, 6) as Shipping_Cost_Percentage
