@@ -123,7 +123,7 @@ feats AS (
   select * from feats_all
   where order_purchase_timestamp >= timestamp '{W_START}' and order_purchase_timestamp <= timestamp '{W_END}'),
 base AS (
-  select f.*, case when r.review_score > 3 then 1.0 else 0.0 end as label, r.review_score
+  select f.*, case when r.review_score > 3 then 1.0::double else 0.0::double end as label, r.review_score
   from feats f join uniq r on f.order_id = r.order_id),
 based AS (select * from base where payment_types is not null),
 splitd AS (
@@ -299,8 +299,8 @@ select order_id, cast(total_product_category as bigint) as total_product_categor
        round(avg_prod_name_lenght, 6) as avg_prod_name_lenght,
        round(avg_prod_description_lenght, 6) as avg_prod_description_lenght from prodf""")
     q["status_onehot"] = _q("""
-select order_id, case when order_status = 'F' then 1.0 else 0.0 end as status_F,
-       case when order_status = 'O' then 1.0 else 0.0 end as status_O from b_orders""")
+select order_id, case when order_status = 'F' then 1.0::double else 0.0::double end as status_F,
+       case when order_status = 'O' then 1.0::double else 0.0::double end as status_O from b_orders""")
     q["order_features"] = _q(f"select order_id, {fsel}, order_status, payment_types from feats")
     q["basetable"] = _q(f"select order_id, {fsel}, order_status, payment_types, label from base")
     q["multiclass_label"] = _q("select order_id, cast(review_score as double) as label from base")
