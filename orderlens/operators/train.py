@@ -13,7 +13,6 @@ from typing import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from orderlens.operators import metrics as M
 

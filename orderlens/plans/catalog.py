@@ -8,16 +8,13 @@ doubles to 6 places and cast integers to BIGINT, as the oracle does.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import CountVectorizerModel, MinMaxScaler, OneHotEncoder, StringIndexer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.operators import encode, insights, metrics, quality, reviews, score, train
+from orderlens.operators import encode, insights, metrics, quality, reviews, score
 from orderlens.operators.features import (
     IMPUTE_COLUMNS, NUMERIC_FEATURES, WINSOR_COLUMNS, basetable, in_window, item_aggregates,
     multiclass_label, order_features, payment_aggregates, time_features, customer_value,
@@ -26,7 +23,7 @@ from orderlens.operators.prep import (
     TEST, TRAIN, VALIDATION, MeanImputer, ScalarMinMax, Winsorizer, dropna_subset, keyed_split, only, prepare,
 )
 from orderlens.plans.oracle import INTEGRAL
-from orderlens.plans.params import DECIMALS, SCORE_END, SCORE_START, W_END, W_START
+from orderlens.plans.params import DECIMALS, W_END, W_START
 from orderlens.session import scratch_path
 from orderlens.sources.binding import bind_orders, bind_scored, bind_tables
 from orderlens.sources.files import read_csv, register_views, write_csv, write_parquet
