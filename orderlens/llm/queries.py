@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from orderlens.llm.quality_rules import op8_adaptive_rules
 from orderlens.llm.sharding import op9_virtual_slots
 
 QUERIES = {
+    "op8_adaptive_rules": op8_adaptive_rules,
     "op9_virtual_slots": op9_virtual_slots,
 }
 ORACLES: dict[str, str] = {}
