@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from orderlens.llm.packing import op1_best_fit_packing
 from orderlens.llm.quality_rules import op8_adaptive_rules
 from orderlens.llm.sharding import op9_virtual_slots
 from orderlens.llm.toxicity import op10_kneser_ney_toxicity
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
     "op8_adaptive_rules": op8_adaptive_rules,
     "op9_virtual_slots": op9_virtual_slots,
