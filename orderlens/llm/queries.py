@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from orderlens.llm.bpe import op3_distinct_word_bpe
+from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
 from orderlens.llm.near_dups import op4_setsketch_near_dups
 from orderlens.llm.packing import op1_best_fit_packing
 from orderlens.llm.quality_rules import op8_adaptive_rules
@@ -10,6 +11,7 @@ from orderlens.llm.sharding import op9_virtual_slots
 from orderlens.llm.toxicity import op10_kneser_ney_toxicity
 
 QUERIES = {
+    "op5_fuzzy_line_dedup": op5_fuzzy_line_dedup,
     "op4_setsketch_near_dups": op4_setsketch_near_dups,
     "op3_distinct_word_bpe": op3_distinct_word_bpe,
     "op1_best_fit_packing": op1_best_fit_packing,
