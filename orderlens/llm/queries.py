@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from orderlens.llm.ann import op6_int8_block_neighbours
 from orderlens.llm.bpe import op3_distinct_word_bpe
 from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
 from orderlens.llm.near_dups import op4_setsketch_near_dups
@@ -11,6 +12,7 @@ from orderlens.llm.sharding import op9_virtual_slots
 from orderlens.llm.toxicity import op10_kneser_ney_toxicity
 
 QUERIES = {
+    "op6_int8_block_neighbours": op6_int8_block_neighbours,
     "op5_fuzzy_line_dedup": op5_fuzzy_line_dedup,
     "op4_setsketch_near_dups": op4_setsketch_near_dups,
     "op3_distinct_word_bpe": op3_distinct_word_bpe,
