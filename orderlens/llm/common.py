@@ -99,3 +99,33 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
         return values[:0]
     shift = np.repeat(starts - (ends - lengths), lengths)
     return values[np.arange(ends[-1]) + shift]
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of all texts and their offsets."""
+    size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    joined = b"".join(x.as_buffer() for x in texts)
+    return np.frombuffer(joined, np.uint8), np.concatenate(([0], np.cumsum(size)))
+
+
+def in_repeated_window(codes: np.ndarray, offsets: np.ndarray, n_distinct: int, width: int = 3) -> np.ndarray:
+    """Per word: whether it lies in a window of ``width`` words found twice or more in its row."""
+    marked = np.zeros(len(codes) + 1, np.int64)
+    row = row_numbers(offsets)
+    n = len(codes) - width + 1
+    if n > 0:
+        key = codes[:n]
+        for k in range(1, width):
+            if float(max(1, key.max())) * (n_distinct + 1) >= 2 ** 62:
+                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            key = key * (n_distinct + 1) + codes[k:n + k]
+        inside = np.flatnonzero(row[:n] == row[width - 1:])
+        order = inside[np.argsort(key[inside], kind="stable")]  # stable: a row's equal windows stand together
+        same = (key[order[1:]] == key[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+        twice = np.zeros(len(order), bool)
+        twice[1:] |= same
+        twice[:-1] |= same
+        at = order[twice]
+        np.add.at(marked, at, 1)
+        np.add.at(marked, at + width, -1)
+    return np.cumsum(marked[:-1]) > 0

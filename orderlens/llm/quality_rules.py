@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderlens.llm.common import append_columns, row_numbers, row_sums, slices, split_words, texts_of
+from orderlens.llm.common import append_columns, in_repeated_window, row_sums, slices, split_words, text_bytes, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 GAMMA = 1.02
@@ -52,13 +52,6 @@ _UPPER = (np.arange(256) >= 65) & (np.arange(256) <= 90)
 _BANG = np.arange(256) == 33
 
 
-def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts and their offsets."""
-    size = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    joined = b"".join(x.as_buffer() for x in texts)
-    return np.frombuffer(joined, np.uint8), np.concatenate(([0], np.cumsum(size)))
-
-
 def duplicate_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     r"""Per text: its \n-split lines with a word, and how many of them equal an earlier one."""
     lines = pc.split_pattern(texts, "\n")
@@ -73,39 +66,16 @@ def duplicate_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return n_lines, n_lines - np.bincount(distinct, minlength=len(texts))
 
 
-def repeated_window_words(codes: np.ndarray, offsets: np.ndarray, n_distinct: int, width: int = 3) -> np.ndarray:
-    """Per text: words that lie in a window of ``width`` words found twice or more in the text."""
-    marked = np.zeros(len(codes) + 1, np.int64)
-    row = row_numbers(offsets)
-    n = len(codes) - width + 1
-    if n > 0:
-        key = codes[:n]
-        for k in range(1, width):
-            if float(max(1, key.max())) * (n_distinct + 1) >= 2 ** 62:
-                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-            key = key * (n_distinct + 1) + codes[k:n + k]
-        inside = np.flatnonzero(row[:n] == row[width - 1:])
-        order = inside[np.argsort(key[inside], kind="stable")]  # stable: a text's equal windows stand together
-        same = (key[order[1:]] == key[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
-        twice = np.zeros(len(order), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        at = order[twice]
-        np.add.at(marked, at, 1)
-        np.add.at(marked, at + width, -1)
-    return row_sums((np.cumsum(marked[:-1]) > 0).astype(np.int64), offsets)
-
-
 def text_stats(texts: pa.Array) -> pa.StructArray:
     """The counts and ratios of ``STATS`` for each text."""
     offsets, codes, words = split_words(texts)
     chars = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     n_words = np.diff(offsets)
     word_chars = row_sums(chars[codes] if len(codes) else codes, offsets)
-    raw, ends = _bytes(texts)
+    raw, ends = text_bytes(texts)
     n_symbols, upper, bang = (row_sums(table[raw].astype(np.int64), ends) for table in (_SYMBOL, _UPPER, _BANG))
     n_lines, dup = duplicate_lines(texts)
-    repeat = repeated_window_words(codes, offsets, len(words))
+    repeat = row_sums(in_repeated_window(codes, offsets, len(words)).astype(np.int64), offsets)
     per_word = np.maximum(n_words, 1)
     values = [n_words, word_chars, n_symbols, dup, repeat, n_symbols / per_word, dup / np.maximum(n_lines, 1), repeat / per_word,
               upper / np.maximum(word_chars, 1), bang / per_word, word_chars / per_word]

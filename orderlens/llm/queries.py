@@ -7,11 +7,13 @@ from orderlens.llm.bpe import op3_distinct_word_bpe
 from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
 from orderlens.llm.near_dups import op4_setsketch_near_dups
 from orderlens.llm.packing import op1_best_fit_packing
+from orderlens.llm.quality_crf import op2_line_crf_quality
 from orderlens.llm.quality_rules import op8_adaptive_rules
 from orderlens.llm.sharding import op9_virtual_slots
 from orderlens.llm.toxicity import op10_kneser_ney_toxicity
 
 QUERIES = {
+    "op2_line_crf_quality": op2_line_crf_quality,
     "op6_int8_block_neighbours": op6_int8_block_neighbours,
     "op5_fuzzy_line_dedup": op5_fuzzy_line_dedup,
     "op4_setsketch_near_dups": op4_setsketch_near_dups,
