@@ -5,6 +5,7 @@ from __future__ import annotations
 from orderlens.llm.ann import op6_int8_block_neighbours
 from orderlens.llm.bpe import op3_distinct_word_bpe
 from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
+from orderlens.llm.lm_score import op7_cross_entropy_difference
 from orderlens.llm.near_dups import op4_setsketch_near_dups
 from orderlens.llm.packing import op1_best_fit_packing
 from orderlens.llm.quality_crf import op2_line_crf_quality
@@ -13,14 +14,15 @@ from orderlens.llm.sharding import op9_virtual_slots
 from orderlens.llm.toxicity import op10_kneser_ney_toxicity
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_line_crf_quality": op2_line_crf_quality,
-    "op6_int8_block_neighbours": op6_int8_block_neighbours,
-    "op5_fuzzy_line_dedup": op5_fuzzy_line_dedup,
-    "op4_setsketch_near_dups": op4_setsketch_near_dups,
     "op3_distinct_word_bpe": op3_distinct_word_bpe,
-    "op1_best_fit_packing": op1_best_fit_packing,
-    "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op4_setsketch_near_dups": op4_setsketch_near_dups,
+    "op5_fuzzy_line_dedup": op5_fuzzy_line_dedup,
+    "op6_int8_block_neighbours": op6_int8_block_neighbours,
+    "op7_cross_entropy_difference": op7_cross_entropy_difference,
     "op8_adaptive_rules": op8_adaptive_rules,
     "op9_virtual_slots": op9_virtual_slots,
+    "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
 }
 ORACLES: dict[str, str] = {}
