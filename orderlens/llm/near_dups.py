@@ -140,7 +140,7 @@ def _text_hash(normal: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """key, cid: a row for each band of each class."""
+    """key, band, cid: a row for each band of each class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -151,8 +151,9 @@ def _bands(classes: DataFrame) -> DataFrame:
                 key = np.full(len(sketch), band + 1, U64)
                 for k in range(BAND_ROWS):
                     key = (key << U64(8)) | sketch[:, band * BAND_ROWS + k]  # a band number and six bytes: no collisions
-                yield pa.RecordBatch.from_arrays([pa.array(mix64(key).view(np.int64)), cid], names=["key", "cid"])
-    return classes.select("cid", "sketch").mapInArrow(run, "key long, cid long")
+                yield pa.RecordBatch.from_arrays([pa.array(mix64(key).view(np.int64)), pa.array(np.full(len(key), band, np.int32)), cid],
+                                                 names=["key", "band", "cid"])
+    return classes.select("cid", "sketch").mapInArrow(run, "key long, band int, cid long")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -223,8 +224,12 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, pe
     return materialize(_verified(pairs, materialize(_texts(docs, wanted), "near-texts"), width, percent), "near-links")
 
 
-def _open_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Plausible pairs of different components within buckets, hubs aside (they are done)."""
+def _open_tiles(members: DataFrame, components: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several components, dealt to square tiles, written.
+
+    A tile pairs up to ``TILE`` members outside the bucket's largest component (x) with up to
+    as many of all its members (y). Hubs are done and stay out.
+    """
     known = (members.join(components.withColumnRenamed("node", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
     known = materialize(known, "near-members")
@@ -241,37 +246,39 @@ def _open_pairs(members: DataFrame, components: DataFrame, classes: DataFrame, l
         chosen = rows.where(F.col("component") != F.col("major")) if is_x else rows
         own = F.pmod(spread, F.col(mine)).cast("int")
         tiles = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("other")
-        out = chosen.select("key", "cid", "component", (F.col("component") == F.col("major")).alias("in_major"), own.alias("own"), tiles)
+        out = chosen.select("key", "band", "cid", "component", (F.col("component") == F.col("major")).alias("in_major"), own.alias("own"), tiles)
         x, y = ("own", "other") if is_x else ("other", "own")
-        return out.select(F.xxhash64("key", F.col(x), F.col(y)).alias("tile"), "cid", "component", "in_major", F.lit(is_x).alias("is_x"))
+        return out.select(F.xxhash64("key", F.col(x), F.col(y)).alias("tile"), "band", "cid", "component", "in_major", F.lit(is_x).alias("is_x"))
     tiled = role(True).unionByName(role(False)).join(classes.select("cid", "n", "sketch"), "cid")
-    dealt = tiled.repartition("tile").sortWithinPartitions("tile")
-    return dealt.mapInArrow(lambda batches: _tile_pairs(batches, least), "a long, b long").distinct()
+    return materialize(tiled, "near-tiles")
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Plausible pairs within the tiles of sorted rows; a tile's rows are held together, no more."""
+def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole tiles of sorted rows; no more than a batch and a tile is held."""
     held = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = table if held is None else pa.concat_tables([held, table])
         tile = held.column("tile").to_numpy()
-        first_of_last = len(tile) - int((tile == tile[-1]).sum()) if len(tile) else 0
-        if first_of_last:
-            yield from _pairs_of(held.slice(0, first_of_last), least)
-            held = held.slice(first_of_last)
+        last = len(tile) - int((tile == tile[-1]).sum()) if len(tile) else 0
+        if last:
+            yield held.slice(0, last)
+            held = held.slice(last)
     if held is not None and held.num_rows:
-        yield from _pairs_of(held, least)
+        yield held
+
 
+def _tile_pairs(rows: pa.Table, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, row, estimate) of plausible pairs of different components, in runs.
 
-def _pairs_of(rows: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
-    tile, cid, component, n = (rows.column(x).to_numpy() for x in ("tile", "cid", "component", "n"))
+    A pair that shares several bands is met in the first of them only.
+    """
+    tile, cid, component, n, band = (rows.column(x).to_numpy() for x in ("tile", "cid", "component", "n", "band"))
     is_x, in_major = rows.column("is_x").to_numpy(), rows.column("in_major").to_numpy()
     sketch = _matrix(rows.column("sketch").combine_chunks())
     starts = np.concatenate(([0], np.flatnonzero(np.diff(tile)) + 1, [len(tile)]))
     tile_of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    xs = np.flatnonzero(is_x)
-    ys = np.flatnonzero(~is_x)
+    xs, ys = np.flatnonzero(is_x), np.flatnonzero(~is_x)
     first = np.searchsorted(tile_of[ys], np.arange(len(starts)))
     count = (first[1:] - first[:-1])[tile_of[xs]]
     at = 0
@@ -285,13 +292,63 @@ def _pairs_of(rows: pa.Table, least: float) -> Iterator[pa.RecordBatch]:
         small, large = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
         use &= small >= least * large
         left, right = left[use], right[use]
-        if not len(left):
-            continue
-        near = (sketch[left] == sketch[right]).sum(axis=1) >= least * REGISTERS  # equal registers are at least as likely as similarity
+        equal = sketch[left] == sketch[right]
+        near = equal.sum(axis=1) >= least * REGISTERS  # equal registers are at least as likely as similarity
+        bands = equal[near][:, :REGISTERS // BAND_ROWS * BAND_ROWS].reshape(-1, REGISTERS // BAND_ROWS, BAND_ROWS).all(axis=2).argmax(axis=1)
         left, right = left[near], right[near]
-        good = estimate(sketch[left], sketch[right], n[left].astype(float), n[right].astype(float)) >= least
-        left, right = cid[left[good]], cid[right[good]]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
+        here = bands == band[left]
+        left, right = left[here], right[here]
+        value = estimate(sketch[left], sketch[right], n[left].astype(float), n[right].astype(float)) if len(left) else np.zeros(0)
+        good = value >= least
+        yield left[good], right[good], value[good]
+
+
+def _rest_links(docs: DataFrame, classes: DataFrame, members: DataFrame, components: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between components within buckets, written. Pairs never leave their tile: it
+    names the members that have a plausible partner, gets their texts, and verifies."""
+    least = percent / 100 - ESTIMATE_SLACK
+    tiles = _open_tiles(members, components, classes)
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_tile(batches):
+            seen = np.zeros(rows.num_rows, bool)
+            for left, right, _ in _tile_pairs(rows, least):
+                seen[left] = seen[right] = True
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(rows.column("cid").to_numpy()[seen]))], names=["cid"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_tile(batches):
+            cid, component = rows.column("cid").to_numpy(), rows.column("component").to_numpy()
+            packed, sets, parent, links = rows.column("packed"), {}, {}, []
+
+            def root(x):
+                while parent.get(x, x) != x:
+                    x = parent[x]
+                return x
+            for left, right, value in _tile_pairs(rows, least):
+                order = np.argsort(-value, kind="stable")  # the likeliest link of two components first; the others are then not needed
+                for i, j in zip(left[order].tolist(), right[order].tolist()):
+                    a, b = root(component[i]), root(component[j])
+                    if a == b:
+                        continue
+                    for k in (i, j):
+                        if cid[k] not in sets:
+                            text = pa.array([zstandard.decompress(packed[k].as_py()).decode()], pa.string())
+                            sets[cid[k]] = shingle_sets(text, width)[0]
+                    x, y = sets[cid[i]], sets[cid[j]]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        parent[max(a, b)] = min(a, b)
+                        links.append((cid[i], cid[j]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("tile").sortWithinPartitions("tile")
+    ids = materialize(dealt(tiles).mapInArrow(involved, "cid long").distinct(), "near-involved")
+    wanted = materialize(classes.select("cid", "doc_id", "h1", "h2").join(ids, "cid"), "near-wanted")
+    texts = materialize(_texts(docs, wanted), "near-texts")
+    return materialize(dealt(tiles.join(texts, "cid")).mapInArrow(verify, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -308,10 +365,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     stars = members.where(F.col("cid") != F.col("hub")).select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     links = _links(docs, comparable, stars, width, percent)
     components = materialize(connected_components(links), "near-components")
-    least = percent / 100 - ESTIMATE_SLACK
-    rest = materialize(_open_pairs(members, components, comparable, least), "near-rest")
+    rest = _rest_links(docs, comparable, members, components, width, percent)
     if not rest.isEmpty():
-        links = links.unionByName(_links(docs, comparable, rest, width, percent))
+        links = links.unionByName(rest)
         components = materialize(connected_components(links), "near-components")
     grouped = comparable.select("cid", "doc_id", "h1", "h2").join(components.withColumnRenamed("node", "cid"), "cid", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "cid"))
