@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 U64 = np.uint64
 
 
@@ -42,6 +42,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
@@ -129,3 +130,8 @@ def in_repeated_window(codes: np.ndarray, offsets: np.ndarray, n_distinct: int,
         np.add.at(marked, at, 1)
         np.add.at(marked, at + width, -1)
     return np.cumsum(marked[:-1]) > 0
+
+
+def count_bytes(raw: np.ndarray, ends: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Bytes of each text (offsets ``ends``) for which the 256-entry table ``wanted`` is true."""
+    return np.diff(np.searchsorted(np.flatnonzero(wanted[raw]), ends))

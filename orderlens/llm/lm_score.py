@@ -2,8 +2,7 @@
 
 A target model is counted on the documents labelled good (quality 1, toxic 0), a background
 model on all documents. They share one vocabulary (the ``VOCABULARY`` most frequent words
-of the whole corpus, all other words one unknown word), one order, one smoothing and one
-mass: background counts are scaled to the target's number of words. A bigram backs off to
+of the whole corpus, all other words one unknown word), one order, one smoothing and one mass: background counts are scaled to the target's number of words. A bigram backs off to
 its unigram, and that to an even chance. A document's score is the mean over its words of
 background loss less target loss: above 0, it reads more like the target. A document that
 was counted is taken out of the counts while it is scored, so that no document is compared
@@ -35,8 +34,9 @@ from orderlens.llm.toxicity import bitmap_of, known, normal_words
 from orderlens.sources.files import materialize
 
 VOCABULARY = 50_000
+MIN_COUNT = 4
 PAIRS = 1 << 20
-BACKOFF = 5.0
+BACKOFF = 100.0
 UNIGRAM_BACKOFF = 100.0
 #: Ids of target documents that are broadcast at most (8 bytes each); above, the join shuffles.
 BROADCAST_ROWS = 1_000_000
@@ -57,8 +57,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words (ties to the smaller hash)."""
-    top = word_counts(docs).orderBy(F.col("n").desc(), "word").limit(size).select("word").toPandas()
+    """Sorted hashes of the most frequent words (ties to the smaller hash) that occur ``MIN_COUNT`` times."""
+    top = word_counts(docs).where(F.col("n") >= MIN_COUNT).orderBy(F.col("n").desc(), "word").limit(size).select("word").toPandas()
     return np.sort(top["word"].to_numpy(np.int64).view(U64))
 
 
@@ -124,6 +124,7 @@ class Models:
     history: np.ndarray
     pairs: np.ndarray
     scale: tuple[float, float]   # what one occurrence counts
+    same: bool = False           # no target: the background stands for it
 
     def losses(self, texts: pa.Array, counted: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per text: (background loss, target loss, words), losses summed in nats.
@@ -139,7 +140,7 @@ class Models:
         own = [_own(ids, rows, size + 1), _own(before, rows, size + 2), _own(cells, rows, PAIRS)]
         n, loss = np.diff(offsets), []
         for m in (0, 1):
-            out = np.where(counted[m], self.scale[m], 0.0)
+            out = np.where(counted[0 if self.same else m], self.scale[m], 0.0)
             unigram, history, pair = (np.maximum(table[m][at] - out[rows] * x, 0) for table, at, x in zip((self.unigram, self.history, self.pairs), (ids, before, cells), own))
             mass = np.maximum(self.unigram[m].sum() - out * n, 0)[rows]
             unigram = (unigram + UNIGRAM_BACKOFF / (size + 1)) / (mass + UNIGRAM_BACKOFF)
@@ -170,7 +171,7 @@ def train(marked: DataFrame, vocabulary_size: int = VOCABULARY) -> Models:
     if not total[1]:
         for table in tables:
             table[1] = table[0]
-        return Models(words, *tables, (1.0, 1.0))
+        return Models(words, *tables, (1.0, 1.0), same=True)
     scale = float(total[1] / total[0])
     for table in tables:
         table[0] *= scale

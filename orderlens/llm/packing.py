@@ -37,9 +37,11 @@ from orderlens.llm.common import ragged, slices, texts_of
 
 CAPACITY = 2048
 END_ID = 0
+#: Text that is encoded at once: the more, the fewer words are encoded again.
+BLOCK_BYTES = 8 << 20
 TOKENIZER = "byte_bpe_50k.json"
 #: Words a worker remembers the ids of; the others are encoded again in each slice.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: A space after a space or control character, spaces beyond ASCII, and special tokens: such
 #: texts are not cut at spaces before they are encoded.
 _UNCUT = (r"[\x00-\x20\x7f]\x20|[\x{80}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}]|<\|")
@@ -118,7 +120,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, name: str = TOKENIZER, wit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=BLOCK_BYTES):
                 ids, n = encode(texts_of(part), name)
                 ends = np.cumsum(n)
                 ids = np.insert(ids, ends, END_ID).astype("<u4")

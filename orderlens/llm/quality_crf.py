@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import append_columns, id_crc32, in_repeated_window, row_numbers, row_sums, slices, split_words, text_bytes, texts_of
+from orderlens.llm.common import append_columns, count_bytes, id_crc32, in_repeated_window, row_numbers, row_sums, slices, split_words, text_bytes, texts_of
 from orderlens.llm.toxicity import labelled, logistic
 
 SAMPLE = 2500
@@ -62,7 +62,7 @@ def line_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     chars = pc.utf8_length(lines).to_numpy(zero_copy_only=False).astype(float)
     size = pc.utf8_length(words).to_numpy(zero_copy_only=False)[codes]
     raw, ends = text_bytes(lines)
-    symbols, capitals, digits, marks = (row_sums(table[raw].astype(np.int64), ends) / chars for table in (_SYMBOL, _UPPER, _DIGIT, _MARK))
+    symbols, capitals, digits, marks = (count_bytes(raw, ends, table) / chars for table in (_SYMBOL, _UPPER, _DIGIT, _MARK))
     line = row_numbers(at)
     again = np.concatenate(([False], (codes[1:] == codes[:-1]) & (line[1:] == line[:-1])))
     distinct = np.bincount(np.unique(line * (len(words) + 1) + codes) // (len(words) + 1), minlength=len(lines))
@@ -241,7 +241,7 @@ def label_lines(docs: DataFrame, chain: Chain) -> DataFrame:
                     part.column("doc_id").take(pa.array(row)), pa.array((np.arange(len(row)) - offsets[row]).astype(np.int32)),
                     pa.array(chars.astype(np.int32)), pa.array(good)], names=["doc_id", "line", "chars", "good"])
     rows = docs.select("doc_id", "text")
-    schema = rows.select("doc_id").schema.add("line", "int").add("chars", "int").add("good", "double")
+    schema = rows.select("doc_id").schema.add("line", "integer").add("chars", "integer").add("good", "double")
     return rows.mapInArrow(run, schema)
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orderlens.llm.common import append_columns, in_repeated_window, row_sums, slices, split_words, text_bytes, texts_of
+from orderlens.llm.common import append_columns, count_bytes, in_repeated_window, row_sums, slices, split_words, text_bytes, texts_of
 
 SYMBOLS = b"#*$%&|<>"
 GAMMA = 1.02
@@ -73,7 +73,7 @@ def text_stats(texts: pa.Array) -> pa.StructArray:
     n_words = np.diff(offsets)
     word_chars = row_sums(chars[codes] if len(codes) else codes, offsets)
     raw, ends = text_bytes(texts)
-    n_symbols, upper, bang = (row_sums(table[raw].astype(np.int64), ends) for table in (_SYMBOL, _UPPER, _BANG))
+    n_symbols, upper, bang = (count_bytes(raw, ends, table) for table in (_SYMBOL, _UPPER, _BANG))
     n_lines, dup = duplicate_lines(texts)
     repeat = row_sums(in_repeated_window(codes, offsets, len(words)).astype(np.int64), offsets)
     per_word = np.maximum(n_words, 1)
