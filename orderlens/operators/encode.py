@@ -20,8 +20,9 @@ def assembler_inputs(columns: Sequence[str] = FEATURE_COLUMNS) -> list[str]:
     return [rename.get(c, c) for c in columns]
 
 
-def status_encoder(handle_invalid: str = "error") -> list:
-    """Alphabetical index then one-hot with the last level dropped (it is the all-zero vector)."""
+def status_encoder(handle_invalid: str = "keep") -> list:
+    """Alphabetical index then one-hot with the last level dropped (it is the all-zero vector).
+    With ``keep`` that level stands for a status not seen in training."""
     return [StringIndexer(inputCol="order_status", outputCol="orderstatusInd", stringOrderType="alphabetAsc",
                           handleInvalid=handle_invalid),
             OneHotEncoder(inputCol="orderstatusInd", outputCol=STATUS_VEC, dropLast=True)]
@@ -29,15 +30,15 @@ def status_encoder(handle_invalid: str = "error") -> list:
 
 def payment_encoder(encoding: str = "vocabulary", num_features: int = 1 << 18):
     """Multi-hot of the payment-type set. ``vocabulary`` gives one named slot per type seen
-    in training; ``hash`` is a ``HashingTF`` of ``num_features`` slots (2^18 by default,
+    in training, however many (the vocabulary has no cap); ``hash`` is a ``HashingTF`` of ``num_features`` slots (2^18 by default,
     the width the studied workflow used)."""
     if encoding == "hash":
         return HashingTF(inputCol="payment_types", outputCol=PAYMENT_VEC, numFeatures=num_features, binary=True)
-    return CountVectorizer(inputCol="payment_types", outputCol=PAYMENT_VEC, binary=True, minDF=1.0)
+    return CountVectorizer(inputCol="payment_types", outputCol=PAYMENT_VEC, binary=True, minDF=1.0, vocabSize=2 ** 31 - 1)
 
 
 def feature_pipeline(columns: Sequence[str] = FEATURE_COLUMNS, payment_encoding: str = "vocabulary",
-                     num_features: int = 1 << 18, status_invalid: str = "error") -> Pipeline:
+                     num_features: int = 1 << 18, status_invalid: str = "keep") -> Pipeline:
     return Pipeline(stages=status_encoder(status_invalid) + [
         payment_encoder(payment_encoding, num_features),
         VectorAssembler(inputCols=assembler_inputs(columns), outputCol="features", handleInvalid="error"),

@@ -12,13 +12,13 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import days_between, minutes_between, safe_ratio
 from orderlens.sources.files import Tables
 
-# The 21 model inputs, in the order the training formula and the scoring assembler use.
+# The 21 model inputs, in the order the training formula and the scoring assembler use.
 FEATURE_COLUMNS = [
     "order_processing_time", "delivery_speed_days", "delivery_accuracy_days",
     "order_month", "order_quarter", "total_item_price", "order_item_count",
@@ -67,12 +67,14 @@ def time_features(orders: DataFrame) -> DataFrame:
 
 
 def item_aggregates(items: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per order from one pass over items joined to product attributes.
-
-    Items are the fact side; products are a dimension keyed by product_id (AQE turns the
-    join into a broadcast when the product side is measured small at run time). Product
-    statistics only see items whose product is known: ``n_product_items`` counts them and
-    gates the distinct-category count, which is null for an order with none.
+    """One row per order from one pass over items.
+
+    Items are first reduced to one row per (order, product): the sums over an order and its
+    number of products are taken there, before any join, and the product side meets the
+    reduced rows. ``order_price`` is summed again after the join, so that the price check
+    catches a product table whose keys are not unique. Product statistics only see items
+    whose product is known: ``n_product_items`` counts them and gates the distinct-category
+    count, which is null for an order with none.
     """
     prod = products.select(
         F.col("product_id").alias("_pid"),
@@ -80,20 +82,31 @@ def item_aggregates(items: DataFrame, products: DataFrame) -> DataFrame:
         (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("_volume"),
         "product_weight_g", "product_name_lenght", "product_description_lenght", "product_photos_qty",
     )
-    joined = items.join(prod, items["product_id"] == prod["_pid"], "left")
+    lines = items.groupBy("order_id", "product_id").agg(
+        F.sum("price").alias("_price"), F.sum("shipping_cost").alias("_shipping"),
+        F.max("order_item_id").alias("_item"), F.count(F.lit(1)).alias("_n"))
+    # an order's rows here are its distinct products
+    order = Window.partitionBy("order_id")
+    lines = lines.withColumns({
+        "_total_price": F.sum("_price").over(order), "_total_shipping_cost": F.sum("_shipping").over(order),
+        "_count": F.max("_item").over(order), "_products": F.count("product_id").over(order)})
+    joined = lines.join(prod, lines["product_id"] == prod["_pid"], "left")
+
+    def weighted_avg(c: str):
+        return safe_ratio(F.sum(F.col(c) * F.col("_n")).cast("double"), F.sum(F.when(F.col(c).isNotNull(), F.col("_n"))))
     agg = joined.groupBy("order_id").agg(
-        F.sum("price").alias("total_item_price"),
-        F.max("order_item_id").alias("order_item_count"),
-        F.count_distinct("product_id").alias("order_diversity"),
-        F.sum("shipping_cost").alias("_total_shipping_cost"),
-        F.sum("price").alias("order_price"),
-        F.count("_pid").alias("n_product_items"),
-        F.count_distinct("product_category_name").alias("_n_categories"),
-        F.sum("_volume").alias("order_volume_cm3"),
-        (F.sum("product_weight_g") / 1000).alias("order_weight_kg"),
-        F.avg("product_name_lenght").alias("avg_prod_name_lenght"),
-        F.avg("product_description_lenght").alias("avg_prod_description_lenght"),
-        F.avg("product_photos_qty").alias("avg_product_photos_qty"),
+        F.max("_total_price").alias("total_item_price"),
+        F.max("_count").alias("order_item_count"),
+        F.max("_products").alias("order_diversity"),
+        F.max("_total_shipping_cost").alias("_total_shipping_cost"),
+        F.sum("_price").alias("order_price"),
+        F.coalesce(F.sum(F.when(F.col("_pid").isNotNull(), F.col("_n"))), F.lit(0)).alias("n_product_items"),
+        F.size(F.collect_set("product_category_name")).cast("bigint").alias("_n_categories"),  # bounded by the category names
+        F.sum(F.col("_volume") * F.col("_n")).alias("order_volume_cm3"),
+        (F.sum(F.col("product_weight_g") * F.col("_n")) / 1000).alias("order_weight_kg"),
+        weighted_avg("product_name_lenght").alias("avg_prod_name_lenght"),
+        weighted_avg("product_description_lenght").alias("avg_prod_description_lenght"),
+        weighted_avg("product_photos_qty").alias("avg_product_photos_qty"),
     )
     return agg.select(
         "*",
@@ -115,8 +128,6 @@ def payment_aggregates(payments: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set("payment_type")).alias("payment_types"),
         F.count("payment_value").alias("_n_values"),
         F.count(F.lit(1)).alias("_n_rows"),
-        # money in integer micro-units: an exact, order-independent sum for the customer mean
-        F.sum(F.round(F.col("payment_value") * 1_000_000).cast("bigint")).alias("_micro_sum"),
     )
     return agg.withColumn("nbr_payments_used", F.size("payment_types").cast("bigint"))
 
@@ -129,17 +140,15 @@ def customer_value(orders: DataFrame, pay_agg: DataFrame, per_order: bool = Fals
     ``per_order=True`` gives the documented meaning: distinct orders, mean order payment.
     """
     o = orders.select("order_id", "customer_id")
-    j = o.join(pay_agg.select("order_id", "order_payment_value", "_n_values", "_n_rows", "_micro_sum"),
-               "order_id", "left")
+    j = o.join(pay_agg.select("order_id", "order_payment_value", "_n_values", "_n_rows"), "order_id", "left")
     if per_order:
         return j.groupBy("customer_id").agg(
             F.avg("order_payment_value").alias("avg_cust_value"),
             F.count_distinct("order_id").alias("Num_orders"),
         )
     rows = F.when(F.col("order_id").isNull(), 0).otherwise(F.greatest(F.coalesce(F.col("_n_rows"), F.lit(0)), F.lit(1)))
-    # exact micro-unit total divided once: the correctly rounded mean, whatever the row order
     return j.groupBy("customer_id").agg(
-        safe_ratio(F.sum("_micro_sum").cast("double"), F.sum("_n_values") * F.lit(1e6)).alias("avg_cust_value"),
+        safe_ratio(F.sum("order_payment_value"), F.sum("_n_values")).alias("avg_cust_value"),
         F.sum(rows).cast("bigint").alias("Num_orders"),
     )
 
@@ -179,7 +188,7 @@ def order_features(tables: Tables, start: Optional[str] = None, end: Optional[st
     cust = customer_value(cust_orders, pays, per_order=per_order_customer)
 
     j = (timed.join(items, "order_id", "left")
-         .join(pays.drop("_n_values", "_n_rows", "_micro_sum"), "order_id", "left")
+         .join(pays.drop("_n_values", "_n_rows"), "order_id", "left")
          .join(cust, "customer_id", "left"))
     return j.select(
         "order_id",

@@ -2,10 +2,10 @@
 
 Inputs are scored rows with ``label``, ``prediction`` and a class-1 score. ROC and AUC
 group by distinct score first (partially combined, so ties and hot scores collapse
-map-side), then take running totals in descending score order with a two-level prefix
-sum: distinct scores are cut into ``blocks`` ranges at approximate quantiles, block
-totals are prefixed in a window over at most ``blocks`` rows, and each block runs its
-own window. No window ever sees all thresholds in one task.
+map-side) and write the counts, then take running totals in descending score order with a
+two-level prefix sum: distinct scores are cut into blocks of about ``block_rows`` at
+approximate quantiles, block totals are prefixed in a window over one row per block, and
+each block runs its own window. No window ever sees all thresholds in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import safe_ratio
+from orderlens.sources.files import materialize
 
 
 def positive_probability(df: DataFrame, col: str = "probability", out: str = "p1") -> DataFrame:
@@ -57,24 +58,28 @@ def weighted_f1(df: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.groupBy(F.col(score).alias("threshold")).agg(
+    """pos and neg rows of each distinct score, written: the rows are scored once for all that
+    follows. Rows without a label or a score say nothing and are left out."""
+    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    counts = known.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.when(F.col(label) == 1.0, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col(label) == 1.0, 0).otherwise(1)).cast("bigint").alias("neg"))
+    return materialize(counts, "score-counts")
 
 
-def _running_desc(counts: DataFrame, blocks: int = 256) -> DataFrame:
-    """Add cum_pos / cum_neg: totals over thresholds >= this one (descending order)."""
+def _running_desc(counts: DataFrame, block_rows: int = 10_000) -> DataFrame:
+    """Add cum_pos / cum_neg: totals over thresholds >= this one (descending order). The number
+    of blocks follows the number of distinct scores."""
+    blocks = max(1, -(-counts.count() // block_rows))
     fracs = [i / blocks for i in range(1, blocks)]
-    cuts = counts.agg(F.percentile_approx("threshold", fracs, 10 * blocks).alias("c")).first()["c"] or []
-    cuts = sorted(set(cuts))
-    if cuts:
-        arr = F.array(*[F.lit(float(c)) for c in cuts])
-        blk = F.size(F.filter(arr, lambda x: x > F.col("threshold")))
+    if fracs:
+        cuts = counts.agg(F.array_distinct(F.percentile_approx("threshold", fracs, 10 * blocks)).alias("cuts"))
     else:
-        blk = F.lit(0)
-    c = counts.withColumn("blk", blk)
+        cuts = counts.agg(F.array().cast("array<double>").alias("cuts"))
+    c = (counts.crossJoin(F.broadcast(cuts))  # one row of cuts
+         .withColumn("blk", F.size(F.filter("cuts", lambda x: x > F.col("threshold")))).drop("cuts"))
     totals = c.groupBy("blk").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    # at most `blocks` rows: a single-partition window here is bounded by construction
+    # a row per block: a single-partition window here is bounded by the number of blocks
     before = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("blk", F.coalesce(F.sum("bpos").over(before), F.lit(0)).alias("off_pos"),
                             F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off_neg"))
@@ -85,11 +90,11 @@ def _running_desc(counts: DataFrame, blocks: int = 256) -> DataFrame:
                     (F.sum("neg").over(w) + F.col("off_neg")).alias("cum_neg")))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", blocks: int = 256) -> DataFrame:
+def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", block_rows: int = 10_000) -> DataFrame:
     """One ROC point per distinct score: threshold, tpr, fpr (ties collapsed). With a
-    single class present the undefined rate is null."""
+    single class present the undefined rate is null. Rows without a label or score are out."""
     counts = _score_counts(df, label, score)
-    run = _running_desc(counts, blocks)
+    run = _running_desc(counts, block_rows)
     tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     P, N = float(tot["P"] or 0), float(tot["N"] or 0)
     return run.select(
@@ -98,10 +103,11 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", b
         safe_ratio(F.col("cum_neg").cast("double"), F.lit(N)).alias("fpr"))
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "probability", blocks: int = 256) -> DataFrame:
+def auc(df: DataFrame, label: str = "label", score: str = "probability", block_rows: int = 10_000) -> DataFrame:
     """Exact area under the ROC curve (trapezoids over distinct scores; equals the
-    Mann-Whitney statistic with ties counted half). Null with a single class."""
-    run = _running_desc(_score_counts(df, label, score), blocks)
+    Mann-Whitney statistic with ties counted half). Null with a single class. Rows without
+    a label or score are out."""
+    run = _running_desc(_score_counts(df, label, score), block_rows)
     pos_above = F.col("cum_pos") - F.col("pos")
     area = F.col("neg").cast("double") * (pos_above.cast("double") + F.col("pos").cast("double") / 2.0)
     return run.agg(safe_ratio(F.sum(area), F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))

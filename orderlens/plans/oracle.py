@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from orderlens.operators.features import IMPUTE_COLUMNS, NUMERIC_FEATURES, WINSOR_COLUMNS
 from orderlens.operators.insights import LABEL_METRICS
-from orderlens.plans.params import SCORE_END, SCORE_START, W_END, W_START
+from orderlens.plans.params import W_END, W_START
 
 # Integral feature columns (mean fill truncates into them).
 INTEGRAL = {"delivery_accuracy_days", "order_month", "order_quarter", "order_item_count", "order_diversity",
@@ -70,17 +70,9 @@ timef AS (
          month(order_purchase_timestamp) as order_month,
          quarter(order_purchase_timestamp) as order_quarter
   from b_orders),
-cust0 AS (
-  select o.customer_id, sum(cast(round(p.payment_value * 1000000) as hugeint)) as s, count(p.payment_value) as n,
-         count(o.order_id) as Num_orders
-  from b_orders o left join b_payments p on o.order_id = p.order_id group by o.customer_id),
 cust AS (
-  select customer_id, Num_orders,
-         case when n = 0 then null else cast(s as double) / (n * 1000000.0) end as avg_cust_value,
-         case when n = 0 then null else cast(s as double) / (n * 1000000.0) end as acv_raw,
-         case when n = 0 then null
-              else sign(s) * ((2 * abs(s) + n) // (2 * n)) / 1000000.0 end as acv_r
-  from cust0),
+  select o.customer_id, avg(p.payment_value) as avg_cust_value, count(o.order_id) as Num_orders
+  from b_orders o left join b_payments p on o.order_id = p.order_id group by o.customer_id),
 itemf AS (
   select o.order_id, sum(i.price) as total_item_price, max(i.order_item_id) as order_item_count,
          count(distinct i.product_id) as order_diversity,
@@ -110,7 +102,7 @@ feats_all AS (
          it.order_diversity, it.Shipping_Cost_Percentage, t.order_status, c.avg_cust_value, c.Num_orders,
          pr.total_product_category, pr.order_volume_cm3, pr.order_weight_kg, pr.avg_prod_name_lenght,
          pr.avg_prod_description_lenght, pf.order_payment_value, pf.nbr_installments, pf.nbr_payments_used,
-         pt.payment_types, op.order_price, pr.avg_product_photos_qty, c.acv_raw, c.acv_r,
+         pt.payment_types, op.order_price, pr.avg_product_photos_qty,
          case when pr.order_id is null then 0 else 1 end as has_product
   from timef t
   left join itemf it on t.order_id = it.order_id
@@ -162,15 +154,11 @@ prepared AS (select f.* replace ({_clip_exprs()}) from filled f, bounds q)
 PRELUDE = "WITH " + BINDING + "," + DERIVED + "," + PREP
 
 
-def r6_plain(x: str) -> str:
-    return f"round(cast({x} as double), 6)"
-
-
 def r6(x: str) -> str:
-    if x == "avg_cust_value":
-        # an unmodified customer mean is rounded exactly from its rational (ties half up)
-        return f"(case when {x} = acv_raw then acv_r else round(cast({x} as double), 6) end)"
-    return f"round(cast({x} as double), 6)"
+    """Six places. A mean of amounts in whole 1e-4 units often lies half-way between two of
+    them, where a sum's last bit decides; a nudge far below the last place settles it upwards."""
+    nudge = " + 1e-9" if x.split(".")[-1] == "avg_cust_value" else ""
+    return f"round(cast({x} as double){nudge}, 6)"
 
 
 def _feature_select(prefix: str = "") -> str:
@@ -188,7 +176,8 @@ def _scaled_exprs() -> str:
     out = []
     for c in NUMERIC_FEATURES:
         lo, hi = f"r.lo_{c}", f"r.hi_{c}"
-        out.append(f"round(case when {hi} = {lo} then 0.5 else (cast(p.{c} as double) - {lo}) / ({hi} - {lo}) end, 6) as {c}")
+        nudge = " + 1e-9" if c == "avg_cust_value" else ""  # as in r6
+        out.append(f"round(case when {hi} = {lo} then 0.5 else (cast(p.{c} as double) - {lo}) / ({hi} - {lo}) end{nudge}, 6) as {c}")
     return ", ".join(out)
 
 
@@ -211,7 +200,7 @@ def _profile_sql() -> str:
 
 
 def _means_sql() -> str:
-    parts = [f"select '{c}' as column_name, {r6_plain(c)} as mean from means" for c in IMPUTE_COLUMNS]
+    parts = [f"select '{c}' as column_name, round(cast({c} as double), 6) as mean from means" for c in IMPUTE_COLUMNS]
     return " union all ".join(parts)
 
 
@@ -367,6 +356,3 @@ select label, round(avg(avg_prod_name_lenght), 2) as avg_prod_name_lenght,
 from prepared where has_product = 1 group by label""")
     q["feature_label_corr"] = _q(_corr_sql())
     return q
-
-
-SCORING_WINDOW = (SCORE_START, SCORE_END)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,8 +36,9 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) do we pick a
-    fresh folder under the system temp dir.
+    The cluster's setting always wins. Only a local master may do without: it gets a fresh
+    folder under the system temp dir, which goes when this process ends. On a cluster such
+    a folder would lie on each machine's own disk, so an unset setting is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -46,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="orderlens-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local

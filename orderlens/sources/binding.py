@@ -19,7 +19,7 @@ _TABLES: dict = {}
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy scan of one test table. The handle (schema and file listing, no data) is
     reused within a session, so composing many queries does not re-read footers."""
-    key = (id(spark), sf_dir.rstrip("/"), name)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return _TABLES[key]

@@ -1,23 +1,39 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from orderlens.operators.quantiles import exact_quantiles
+from orderlens.operators.quantiles import exact_quantiles, ranked_ranges
 
 
-@pytest.mark.parametrize("max_candidates", [100_000, 40, 7])
-def test_exact_quantiles_match_numpy(spark, max_candidates):
+@pytest.mark.parametrize("range_values", [100_000, 40, 7])
+def test_exact_quantiles_match_numpy(spark, range_values):
     rng = np.random.default_rng(3)
     a = rng.normal(size=997).round(3)          # ties included
     b = rng.integers(0, 5, size=997).astype(float)  # heavy ties
     rows = [(float(x), float(y) if i % 7 else None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double").repartition(5)
-    got = exact_quantiles(df, ["a", "b"], [0.01, 0.5, 0.99], max_candidates=max_candidates, fanout=8)
+    got = exact_quantiles(df, ["a", "b"], [0.01, 0.5, 0.99], range_values=range_values)
     bb = np.array([r[1] for r in rows if r[1] is not None])
     for col, ref in (("a", a), ("b", bb)):
         want = np.percentile(ref, [1, 50, 99])  # linear interpolation = percentile_cont
         assert np.allclose(got[col], want), (col, got[col], want)
 
 
+def test_dominant_value_does_not_reach_the_ranking(spark):
+    """99.99 % one value, rare others on both sides: few rows are put in order."""
+    n = 200_000
+    x = F.when(F.col("id") < 10, -1.0 - F.col("id")).when(F.col("id") >= n - 10, F.col("id") * 1.0).otherwise(1.0)
+    df = spark.range(0, n, 1, 6).select(x.alias("x"), (F.col("id") % 5000).cast("double").alias("y"))
+    values = np.sort(np.concatenate([-1.0 - np.arange(10), np.ones(n - 20), np.arange(n - 10, n)]))
+    probs = [0.00001, 0.01, 0.5, 0.99, 0.99999]
+    got = exact_quantiles(df, ["x", "y"], probs, range_values=100)
+    assert np.allclose(got["x"], np.percentile(values, [100 * p for p in probs]))
+    assert np.allclose(got["y"], np.percentile(np.arange(n) % 5000, [100 * p for p in probs]))
+    rows, _, _ = ranked_ranges(df, ["x", "y"], probs, range_values=100)
+    assert rows.count() <= 2 * len(probs) * 2 * 150
+    assert rows.groupBy("cid", "b").count().agg(F.max("count")).first()[0] <= 150
+
+
 def test_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"], [0.01, 0.99]) == {"a": [None, None]}

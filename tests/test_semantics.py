@@ -96,7 +96,7 @@ def test_auc_matches_rank_statistic(spark):
     pos = [s for l, s in rows if l == 1]
     neg = [s for l, s in rows if l == 0]
     want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
-    assert metrics.auc(df, blocks=2).first().auc == pytest.approx(want)
+    assert metrics.auc(df, block_rows=2).first().auc == pytest.approx(want)
 
 
 def test_weighted_f1_matches_mllib(spark):
