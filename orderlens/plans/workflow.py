@@ -9,17 +9,19 @@ lost executor re-reads it instead of replaying the whole feature build.
 
 from __future__ import annotations
 
+import importlib
 from dataclasses import dataclass, field
 from typing import Optional
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import encode, reviews as R
-from orderlens.operators.features import IMPUTE_COLUMNS, WINSOR_COLUMNS, basetable, order_features
-from orderlens.operators.prep import TEST, TRAIN, VALIDATION, Prepared, only, prepare
-from orderlens.sources.files import Tables
+from orderlens.operators.features import IMPUTE_COLUMNS, WINSOR_COLUMNS, basetable, in_window, order_features
+from orderlens.operators.prep import TEST, TRAIN, VALIDATION, MeanImputer, Prepared, Winsorizer, only, prepare
+from orderlens.sources.files import Tables, load_model, materialize, save_model
 
 
 @dataclass
@@ -35,8 +37,8 @@ class Workflow:
     _cache: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        dedup = R.dedupe_reviews(self.tables.reviews)
-        base = basetable(order_features(self.tables, self.start, self.end), dedup, keep_score=True)
+        self.reviews = materialize(R.dedupe_reviews(self.tables.reviews).select("order_id", "review_score"), "reviews")
+        base = basetable(order_features(self.tables, self.start, self.end), self.reviews, keep_score=True)
         self.prepared = prepare(base, IMPUTE_COLUMNS, WINSOR_COLUMNS, winsor_method=self.winsor_method)
         data = self.prepared.data
         self.feature_model = encode.fit_features(only(data, TRAIN), payment_encoding=self.payment_encoding)
@@ -54,7 +56,7 @@ class Workflow:
     # ------------------------------------------------------------ five-class task
     def multiclass(self, name: str) -> DataFrame:
         """Same vectors, label = the review score (1..5) of the deduped reviews."""
-        sc = R.dedupe_reviews(self.tables.reviews).select("order_id", F.col("review_score").cast("double").alias("label"))
+        sc = self.reviews.select("order_id", F.col("review_score").cast("double").alias("label"))
         return only(self.assembled(), name).select("order_id", "features").join(sc, "order_id", "inner")
 
     def scaled(self):
@@ -66,10 +68,54 @@ class Workflow:
         return {s: sc.transform(self.multiclass(s)) for s in (TRAIN, VALIDATION, TEST)}
 
     # ------------------------------------------------------------ scoring
-    def scoring_features(self, start: str, end: str) -> DataFrame:
-        """Orders of an unseen window prepared with the training fit: same means, same
-        bounds, same pipeline. An order without payment rows gets an empty type set."""
-        f = order_features(self.tables, start, end)
+    def bundle(self, model) -> "ScoringBundle":
+        """All that another job needs to score other tables with ``model``."""
+        return ScoringBundle(self.prepared.imputer, self.prepared.winsorizer, self.feature_model, model)
+
+
+def unseen(tables: Tables, start: str, end: str) -> Tables:
+    """The table set of the orders bought in a window, as if it stood alone: no reviews, and
+    customer statistics see these orders only."""
+    return Tables(in_window(tables.orders, start, end), tables.items, tables.payments, tables.products)
+
+
+@dataclass
+class ScoringBundle:
+    """Training means and bounds, the feature pipeline and a classifier: fitted once, saved,
+    and loaded by jobs that score other tables."""
+
+    imputer: MeanImputer
+    winsorizer: Winsorizer
+    feature_model: PipelineModel
+    model: object
+
+    def prepare(self, tables: Tables) -> DataFrame:
+        """Features of every order of ``tables``, built from these tables alone and filled and
+        clipped with the training fit. An order without payment rows gets an empty type set."""
+        f = order_features(tables)
         f = f.withColumn("payment_types", F.coalesce(F.col("payment_types"), F.array().cast("array<string>")))
-        f = self.prepared.winsorizer.transform(self.prepared.imputer.transform(f))
-        return self.feature_model.transform(f).select("order_id", "features")
+        return self.winsorizer.transform(self.imputer.transform(f))
+
+    def features(self, tables: Tables) -> DataFrame:
+        return self.feature_model.transform(self.prepare(tables)).select("order_id", "features")
+
+    def save(self, spark: SparkSession, path: str, overwrite: bool = False) -> str:
+        """Write the bundle as one folder; fails where there is one unless ``overwrite``."""
+        rows = [("mean", c, None if v is None else float(v), None) for c, v in self.imputer.means.items()]
+        rows += [("bounds", c, lo, hi) for c, (lo, hi) in self.winsorizer.bounds.items()]
+        rows.append((type(self.model).__module__ + "." + type(self.model).__name__, None, None, None))
+        frame = spark.createDataFrame(rows, "kind string, column_name string, x double, y double")
+        frame.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").parquet(f"{path}/parameters")
+        save_model(self.feature_model, f"{path}/features", overwrite)
+        save_model(self.model, f"{path}/model", overwrite)
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "ScoringBundle":
+        rows = spark.read.parquet(f"{path}/parameters").collect()  # two rows per column
+        means = {r["column_name"]: r["x"] for r in rows if r["kind"] == "mean"}
+        bounds = {r["column_name"]: (r["x"], r["y"]) for r in rows if r["kind"] == "bounds"}
+        module, _, name = next(r["kind"] for r in rows if r["column_name"] is None).rpartition(".")
+        model_class = getattr(importlib.import_module(module), name)
+        return cls(MeanImputer(list(means), means=means), Winsorizer(list(bounds), bounds=bounds),
+                   load_model(PipelineModel, f"{path}/features"), load_model(model_class, f"{path}/model"))
