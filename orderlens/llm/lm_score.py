@@ -58,7 +58,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
     """Sorted hashes of the most frequent words (ties to the smaller hash) that occur ``MIN_COUNT`` times."""
-    top = word_counts(docs).where(F.col("n") >= MIN_COUNT).orderBy(F.col("n").desc(), "word").limit(size).select("word").toPandas()
+    top = word_counts(docs).where(F.col("n") >= MIN_COUNT).orderBy(F.col("n").desc(), "word").limit(size).select("word").toArrow().to_pandas()
     return np.sort(top["word"].to_numpy(np.int64).view(U64))
 
 
@@ -160,12 +160,15 @@ def with_target(docs: DataFrame, marks: DataFrame) -> DataFrame:
 def train(marked: DataFrame, vocabulary_size: int = VOCABULARY) -> Models:
     """Count both models over all documents (text, in_target)."""
     words = vocabulary(marked, vocabulary_size)
-    counts = ngram_counts(marked, words).toPandas()  # a row per cell at most
     size = len(words)
+    lengths = (size + 1, size + 2, PAIRS)
+    # A row per cell at most, as three narrow columns.
+    counts = ngram_counts(marked, words).select("kind", "cell", F.col("background").cast("float"), F.col("target").cast("float")).toArrow()
+    kind, cell, background, target = (counts.column(i).to_numpy() for i in range(4))
     tables = []
-    for kind, n in ((0, size + 1), (1, size + 2), (2, PAIRS)):
-        table, rows = np.zeros((2, n), np.float32), counts[counts["kind"] == kind]
-        table[0, rows["cell"]], table[1, rows["cell"]] = rows["background"], rows["target"]
+    for k, n in enumerate(lengths):
+        table, at = np.zeros((2, n), np.float32), kind == k
+        table[0, cell[at]], table[1, cell[at]] = background[at], target[at]
         tables.append(table)
     total = tables[0].sum(axis=1, dtype=np.float64)
     if not total[1]:

@@ -38,10 +38,10 @@ from orderlens.llm.common import ragged, slices, texts_of
 CAPACITY = 2048
 END_ID = 0
 #: Text that is encoded at once: the more, the fewer words are encoded again.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 TOKENIZER = "byte_bpe_50k.json"
 #: Words a worker remembers the ids of; the others are encoded again in each slice.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: A space after a space or control character, spaces beyond ASCII, and special tokens: such
 #: texts are not cut at spaces before they are encoded.
 _UNCUT = (r"[\x00-\x20\x7f]\x20|[\x{80}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}]|<\|")
@@ -63,8 +63,8 @@ def _tokenizer(name: str) -> tuple:
     return _LOADED[name]
 
 
-def _ids(name: str, words: list[str]) -> list[bytes]:
-    """Ids of each string as packed 32-bit numbers."""
+def _ids(name: str, words: list[str], again: np.ndarray) -> list[bytes]:
+    """Ids of each string as packed 32-bit numbers; those that came ``again`` are remembered."""
     tokenizer, memory = _tokenizer(name)
     found = [memory.get(w) for w in words]
     missing = [i for i, x in enumerate(found) if x is None]
@@ -72,7 +72,7 @@ def _ids(name: str, words: list[str]) -> list[bytes]:
         at = missing[start:start + 20_000]
         for i, e in zip(at, tokenizer.encode_batch_fast([words[i] for i in at], add_special_tokens=False)):
             found[i] = array("I", e.ids).tobytes()
-            if len(memory) < REMEMBERED:
+            if again[i] and len(memory) < REMEMBERED:
                 memory[words[i]] = found[i]
     return found
 
@@ -90,10 +90,10 @@ def encode(texts: pa.Array, name: str = TOKENIZER) -> tuple[np.ndarray, np.ndarr
     first = np.zeros(len(coded), bool)
     first[np.cumsum(n_parts) - n_parts] = True
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64) + np.where(first, 0, len(coded.dictionary))
-    used, code = np.unique(code, return_inverse=True)
+    used, code, often = np.unique(code, return_inverse=True, return_counts=True)
     words = coded.dictionary.to_pylist()
     strings = [words[u] if u < len(words) else " " + words[u - len(words)] for u in used.tolist()]
-    blobs = _ids(name, strings)
+    blobs = _ids(name, strings, often > 1)
     size = np.fromiter((len(b) // 4 for b in blobs), np.int64, len(blobs))
     store = np.frombuffer(b"".join(blobs), np.uint32)
     lengths = size[code]

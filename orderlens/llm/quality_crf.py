@@ -194,7 +194,7 @@ def fit(docs: DataFrame, marks: DataFrame, label: str = "quality", fold: int = 3
                 rows = [features[a:b].astype(np.float32).tobytes() if b - a <= FIT_LINES else None for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), part.column("label")], names=["features", "label"])
     rows = materialize(labelled(docs, marks, label, fold, held, sample), "quality-sample")
-    lines = rows.where("counts").select("text", "label").mapInArrow(run, "features binary, label int").where("features is not null").toPandas()
+    lines = rows.where("counts").select("text", "label").mapInArrow(run, "features binary, label int").where("features is not null").toArrow().to_pandas()
     share = float(rows.agg(F.coalesce(F.avg("label"), F.lit(0.5))).first()[0])
     constant = np.log(share + 1e-6) - np.log(1 - share + 1e-6)
     if lines["label"].nunique() < 2:
@@ -209,7 +209,7 @@ def fit(docs: DataFrame, marks: DataFrame, label: str = "quality", fold: int = 3
         for batch in batches:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays([pa.array(shared.value.evidence(texts_of(part))), part.column("label")], names=["evidence", "label"])
-    curve = rows.where("not counts").select("text", "label").mapInArrow(judge, "evidence double, label int").toPandas()
+    curve = rows.where("not counts").select("text", "label").mapInArrow(judge, "evidence double, label int").toArrow().to_pandas()
     if curve["label"].nunique() == 2:
         x = np.stack([curve["evidence"].to_numpy(), np.ones(len(curve))], axis=1)
         chain.curve = logistic(x, curve["label"].to_numpy(float))

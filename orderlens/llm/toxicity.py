@@ -178,8 +178,8 @@ def fit(docs: DataFrame, marks: DataFrame, label: str = "toxic", fold: int = 4,
     total = F.col("n0") + F.col("n1")
     pairs, ones = counts.where("left is not null"), counts.where("left is null")
     # Bounded: no more n-grams than the sample has / MIN_COUNT.
-    words = ones.where(total >= MIN_COUNT).select(F.col("right").alias("word"), "n0", "n1").toPandas()
-    pair = pairs.where(total >= MIN_COUNT).select("left", "right", "n0", "n1").toPandas()
+    words = ones.where(total >= MIN_COUNT).select(F.col("right").alias("word"), "n0", "n1").toArrow().to_pandas()
+    pair = pairs.where(total >= MIN_COUNT).select("left", "right", "n0", "n1").toArrow().to_pandas()
     rest = ones.where(total < MIN_COUNT).agg(F.sum("n0"), F.sum("n1")).first()
     by_class = dict(rows.where("counts").groupBy("label").count().collect())
     return _with_curve(_model(words, pair, [by_class.get(0, 0), by_class.get(1, 0)], [rest[0] or 0, rest[1] or 0]), rows)
@@ -225,7 +225,7 @@ def _with_curve(model: Model, rows: DataFrame) -> Model:
                 ratio, n = shared.value.log_ratio(texts_of(part))
                 yield pa.RecordBatch.from_arrays([pa.array(ratio), pa.array(n.astype(np.int64)), part.column("label"), part.column("counts")],
                                                  names=["ratio", "n", "label", "counts"])
-    seen = rows.select("text", "label", "counts").mapInArrow(run, "ratio double, n long, label int, counts boolean").toPandas()
+    seen = rows.select("text", "label", "counts").mapInArrow(run, "ratio double, n long, label int, counts boolean").toArrow().to_pandas()
     curve = seen[~seen.counts]
     if curve.label.nunique() < 2:
         curve = seen
