@@ -6,11 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from orderlens.plans.oracle import queries_sql
 from tests.conftest import SF
 
-CHECK = ["latest_review", "unique_reviews", "review_cardinality", "order_item_features", "payment_features",
-         "product_features", "status_onehot", "keyed_split", "split_sizes", "impute_means", "winsor_bounds",
-         "roc_curve", "auc", "weighted_f1", "confusion_matrix", "payment_type_share", "feature_label_corr"]
+CHECK = sorted(queries_sql())
 
 
 def _norm(v):
