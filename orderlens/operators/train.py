@@ -13,6 +13,7 @@ from typing import Callable, Sequence
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderlens.operators import metrics as M
 
@@ -24,18 +25,31 @@ LR_MULTI_GRID = [{"regParam": 0.01, "maxIter": 50}, {"regParam": 0.01, "maxIter"
 NB_GRID = [{"smoothing": 0.5, "modelType": "multinomial"}, {"smoothing": 1.0, "modelType": "multinomial"},
            {"smoothing": 1.5, "modelType": "multinomial"}]
 
-SEED = 121
+SEED = 121  # fixed value of the studied workflow
 
 # Execution settings for tree ensembles (no effect on the fitted trees): a larger node
 # batch per pass and cached node ids cut the number of passes over the data for deep trees.
 TREE_EXEC = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
 
 
-def rf(params, features="features", weight_col=None):
-    kw = dict(featuresCol=features, labelCol="label", seed=SEED, **TREE_EXEC, **params)
-    if weight_col:
-        kw["weightCol"] = weight_col
-    return RandomForestClassifier(**kw)
+WEIGHT = "class_weight"
+
+
+def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
+    """``df`` with the inverse frequency of each row's class (mean 1 over the rows)."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.sum("__n").alias("__total"), F.count(F.lit(1)).alias("__classes"))
+    weights = counts.crossJoin(F.broadcast(total)).select(label, (F.col("__total") / (F.col("__classes") * F.col("__n"))).alias(WEIGHT))
+    return df.join(F.broadcast(weights), label)  # a row per class
+
+
+def rf(params, features="features"):
+    return RandomForestClassifier(featuresCol=features, labelCol="label", seed=SEED, **TREE_EXEC, **params)
+
+
+def weighted_rf(params, features="features"):
+    """The forest on rows ``with_class_weights``."""
+    return rf(params, features).setWeightCol(WEIGHT)
 
 
 def lr(params, features="features"):

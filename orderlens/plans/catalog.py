@@ -25,7 +25,8 @@ from orderlens.plans.oracle import INTEGRAL
 from orderlens.plans.params import DECIMALS, W_END, W_START
 from orderlens.session import scratch_path
 from orderlens.sources.binding import bind_orders, bind_scored, bind_tables
-from orderlens.sources.files import read_csv, register_views, write_csv, write_parquet
+from orderlens.sources.files import TABLE_FILES, read_csv, read_tables, register_views, write_csv, write_parquet
+from orderlens.sources.schemas import SCHEMAS
 from pyspark.sql import types as T
 
 
@@ -84,6 +85,20 @@ def csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema).select("order_id", "order_status", _r("total_item_price"))
 
 
+def csv_tables_roundtrip(spark, sf):
+    """Write the bound tables as CSV, load them as text files are loaded, and derive the order times."""
+    folder = scratch_path(spark, "csv_tables")
+    tables = bind_tables(spark, sf)
+    for f, name in TABLE_FILES.items():
+        table, schema = getattr(tables, f), SCHEMAS[name]
+        missing = {c.name: F.lit(None).cast(c.dataType) for c in schema if c.name not in table.columns}
+        write_csv(table.withColumns(missing).select(*schema.names), f"{folder}/{name}.csv")
+    loaded = read_tables(spark, folder)
+    o = time_features(loaded.orders)
+    return o.select(_i("order_id"), _r("order_processing_time"), _r("delivery_speed_days"),
+                    _i("delivery_accuracy_days"), _i("order_month"), _i("order_quarter"))
+
+
 def parquet_roundtrip(spark, sf):
     t = bind_tables(spark, sf)
     df = (t.orders.select("order_id", "order_status")
@@ -350,6 +365,7 @@ def feature_label_corr(spark, sf):
 
 SQL_QUERIES = {
     "csv_roundtrip": csv_roundtrip,
+    "csv_tables_roundtrip": csv_tables_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
     "sql_view_query": sql_view_query,
     "order_time_features": order_time_features,

@@ -48,6 +48,8 @@ def _multi(wf: Workflow, make, grid, metric, scaled=False):
         train, val, test = parts[TRAIN], parts[VALIDATION], parts[TEST]
     else:
         train, val, test = wf.multiclass(TRAIN), wf.multiclass(VALIDATION), wf.multiclass(TEST)
+    if make is TR.weighted_rf:
+        train = TR.with_class_weights(train)
     sel = TR.select_best(make, grid, train, val, metric)
     test_metrics = {"test_auc": None, "test_accuracy": TR.multi_accuracy(sel.model, test)}
     return sel, test_metrics
@@ -75,7 +77,7 @@ def train_gbt_binary(spark, sf):
 
 def train_rf_multi(spark, sf):
     # the studied workflow selected this one on weighted F1 (its evaluator's default metric)
-    sel, tm = _multi(_wf(spark, sf), TR.rf, TR.RF_GRID, TR.multi_f1)
+    sel, tm = _multi(_wf(spark, sf), TR.weighted_rf, TR.RF_GRID, TR.multi_f1)
     return TR.trials_frame(spark, "rf_multi", sel, tm)
 
 
@@ -97,7 +99,7 @@ def model_leaderboard(spark, sf):
                              ("gbt_binary", TR.gbt, TR.GBT_GRID)):
         sel, tm = _binary(wf, make, grid)
         frames.append(TR.trials_frame(spark, name, sel, tm))
-    for name, make, grid, metric, scaled in (("rf_multi", TR.rf, TR.RF_GRID, TR.multi_f1, False),
+    for name, make, grid, metric, scaled in (("rf_multi", TR.weighted_rf, TR.RF_GRID, TR.multi_f1, False),
                                              ("lr_multi", TR.lr, TR.LR_MULTI_GRID, TR.multi_accuracy, False),
                                              ("nb_multi", TR.nb, TR.NB_GRID, TR.multi_accuracy, True)):
         sel, tm = _multi(wf, make, grid, metric, scaled)

@@ -241,6 +241,7 @@ from b_orders o left join b_items i on o.order_id = i.order_id group by o.order_
 select order_id, round(order_processing_time, 6) as order_processing_time, round(delivery_speed_days, 6) as delivery_speed_days,
        cast(delivery_accuracy_days as bigint) as delivery_accuracy_days, cast(order_month as bigint) as order_month,
        cast(order_quarter as bigint) as order_quarter from timef""")
+    q["csv_tables_roundtrip"] = q["order_time_features"]
     q["label_slices"] = _q("""
 select 0.0::double as label, count(*) as n from base where label = 0
 union all select 1.0::double as label, count(*) as n from base where label = 1""")

@@ -1,5 +1,5 @@
 from orderlens.sources.schemas import (  # noqa: F401
-    ITEMS, ORDERS, PAYMENTS, PRODUCTS, REVIEWS, SCHEMAS, SCORED,
+    ITEMS, ORDERS, PAYMENTS, PRODUCTS, REVIEWS, SCHEMAS,
 )
 from orderlens.sources.files import (  # noqa: F401
     Tables, load_model, read_csv, read_parquet, read_tables, register_views,

@@ -6,6 +6,7 @@ from dataclasses import dataclass, fields
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.sources.schemas import SCHEMAS
@@ -31,16 +32,31 @@ TABLE_FILES = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, keep_corrupt: bool = False) -> DataFrame:
     """CSV with a declared schema: one scan, no inference pass, stable types.
 
-    ``timestampFormat`` is left at Spark's default; malformed values become null
-    (PERMISSIVE) instead of failing the job.
+    Timestamps are read as text and parsed by ``try_to_timestamp`` (a malformed one is null).
+    A line that does not fit the schema gives nulls (PERMISSIVE); ``keep_corrupt`` keeps its
+    text in the column ``_corrupt_record``, so that such lines can be counted.
     """
-    return (spark.read.schema(schema)
+    stamps = [f.name for f in schema if isinstance(f.dataType, T.TimestampType)]
+    raw = T.StructType([T.StructField(f.name, T.StringType() if f.name in stamps else f.dataType) for f in schema]
+                       + [T.StructField(CORRUPT, T.StringType())] * keep_corrupt)
+    rows = (spark.read.schema(raw)
             .option("header", header)
             .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .csv(path))
+    return rows.withColumns({c: F.try_to_timestamp(F.col(c)) for c in stamps}) if stamps else rows
+
+
+def corrupt_records(rows: DataFrame) -> int:
+    """How many lines of a ``read_csv(keep_corrupt=True)`` did not fit the schema."""
+    # All columns are counted, as the CSV reader only checks the ones that a query needs.
+    return rows.agg(F.count_if(F.col(CORRUPT).isNotNull()), *[F.count(c) for c in rows.columns]).first()[0]
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -52,11 +68,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    df.write.mode(mode).parquet(path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

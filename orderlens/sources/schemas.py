@@ -52,14 +52,6 @@ REVIEWS = T.StructType([
     T.StructField("review_answer_timestamp", T.TimestampType()),
 ])
 
-# Model output as the metric operators expect it: one row per scored order.
-SCORED = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("label", T.DoubleType()),
-    T.StructField("probability", T.DoubleType()),
-    T.StructField("prediction", T.DoubleType()),
-])
-
 SCHEMAS = {
     "orders": ORDERS,
     "order_items": ITEMS,

@@ -88,3 +88,23 @@ def test_a_cluster_needs_a_shared_folder():
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=context)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(session)
+
+
+def test_csv_intake_counts_what_does_not_fit(spark, tmp_path):
+    from orderlens.sources.files import corrupt_records, read_csv
+    from orderlens.sources.schemas import ORDERS
+    path = tmp_path / "orders.csv"
+    path.write_text(",".join(ORDERS.names) + "\n"
+                    "a,c,delivered,2017-10-02 10:56:33,2017-10-02 11:07:15,,2017-10-10 21:25:13,2017-10-18 00:00:00\n"
+                    "b,c,delivered,yesterday,,,,2017-10-18 00:00:00\n"
+                    "c,d,shipped,2017-10-02 10:56:33,,,,,one,too,many\n")
+    rows = read_csv(spark, str(path), ORDERS, keep_corrupt=True)
+    got = {r["order_id"]: r for r in rows.collect()}
+    assert got["a"]["order_approved_at"].isoformat() == "2017-10-02T11:07:15" and got["b"]["order_purchase_timestamp"] is None
+    assert corrupt_records(rows) == 1 and got["c"]["_corrupt_record"].startswith("c,d")
+
+
+def test_class_weights_balance_classes(spark):
+    from orderlens.operators.train import WEIGHT, with_class_weights
+    df = with_class_weights(spark.createDataFrame([(1.0,)] * 6 + [(2.0,)] * 2, "label double"))
+    assert {r["label"]: r["w"] for r in df.groupBy("label").agg(F.sum(WEIGHT).alias("w")).collect()} == {1.0: 4.0, 2.0: 4.0}
