@@ -76,8 +76,9 @@ def _running_desc(counts: DataFrame, block_rows: int = 10_000) -> DataFrame:
         cuts = counts.agg(F.array_distinct(F.percentile_approx("threshold", fracs, 10 * blocks)).alias("cuts"))
     else:
         cuts = counts.agg(F.array().cast("array<double>").alias("cuts"))
-    c = (counts.crossJoin(F.broadcast(cuts))  # one row of cuts
-         .withColumn("blk", F.size(F.filter("cuts", lambda x: x > F.col("threshold")))).drop("cuts"))
+    one = F.lit(0).alias("one")
+    c = (counts.select("*", one).join(F.broadcast(cuts.select("*", one)), "one")  # one row of cuts
+         .withColumn("blk", F.size(F.filter("cuts", lambda x: x > F.col("threshold")))).drop("cuts", "one"))
     totals = c.groupBy("blk").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     # a row per block: a single-partition window here is bounded by the number of blocks
     before = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)

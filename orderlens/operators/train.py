@@ -12,7 +12,7 @@ from typing import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.operators import metrics as M
@@ -38,8 +38,9 @@ WEIGHT = "class_weight"
 def with_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``df`` with the inverse frequency of each row's class (mean 1 over the rows)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    total = counts.agg(F.sum("__n").alias("__total"), F.count(F.lit(1)).alias("__classes"))
-    weights = counts.crossJoin(F.broadcast(total)).select(label, (F.col("__total") / (F.col("__classes") * F.col("__n"))).alias(WEIGHT))
+    every = Window.partitionBy(F.lit(0))  # over a row per class
+    weight = F.sum("__n").over(every) / (F.count(F.lit(1)).over(every) * F.col("__n"))
+    weights = counts.select(label, weight.alias(WEIGHT))
     return df.join(F.broadcast(weights), label)  # a row per class
 
 
