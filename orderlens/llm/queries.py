@@ -25,4 +25,28 @@ QUERIES = {
     "op9_virtual_slots": op9_virtual_slots,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
 }
-ORACLES: dict[str, str] = {}
+# All pairs by an inverted index, components by recursion: for small tables only.
+NEAR_DUPS_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sets x ON c.a = x.doc_id JOIN sets y ON c.b = y.doc_id
+  WHERE 100 * c.n >= 80 * (len(x.s) + len(y.s) - c.n)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a),
+smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT s.doc_id, cast(len(s.s) AS BIGINT) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM sets s JOIN smallest m ON s.doc_id = m.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_setsketch_near_dups": NEAR_DUPS_SQL}

@@ -94,3 +94,13 @@ def test_components_of_random_links(spark):
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: root(x) for x in linked}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from orderlens.llm.queries import ORACLES
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    rows = con.sql(ORACLES["op4_setsketch_near_dups"]).fetchall()
+    assert sorted(rows) == sorted(map(tuple, near_dups.op4_setsketch_near_dups(spark, SF).collect()))
