@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from orderlens.llm.ann import op6_int8_block_neighbours
 from orderlens.llm.bpe import op3_distinct_word_bpe
+from orderlens.llm.collocations import op13_phrase_collocations
 from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
 from orderlens.llm.lm_score import op7_cross_entropy_difference
 from orderlens.llm.near_dups import op4_setsketch_near_dups
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_adaptive_rules": op8_adaptive_rules,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 # All pairs by an inverted index, components by recursion: for small tables only.
 NEAR_DUPS_SQL = r"""
@@ -49,4 +51,34 @@ SELECT s.doc_id, cast(len(s.s) AS BIGINT) AS n_shingles, m.component_id, s.doc_i
 FROM sets s JOIN smallest m ON s.doc_id = m.doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_setsketch_near_dups": NEAR_DUPS_SQL}
+# All n-grams of all pieces, counted as text.
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, cast(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words CROSS JOIN (SELECT unnest(range(1, 6)) AS k)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS c FROM candidates),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, t.n, c.c,
+         cast((cast(1000 AS HUGEINT) * c.a * t.n) // (cast(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals t ON c.lang = t.lang
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.c], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.c + 1:c.k], ' ')),
+lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_lengths AS (SELECT lang, a, w, k, unnest(range(2, k)) AS m FROM candidates),
+inside AS (
+  SELECT DISTINCT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM inner_lengths),
+left_over AS (SELECT s.* FROM lowest s ANTI JOIN inside i ON s.lang = i.lang AND s.phrase = i.phrase AND i.a >= s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM left_over QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op4_setsketch_near_dups": NEAR_DUPS_SQL, "op13_phrase_collocations": COLLOCATIONS_SQL}
