@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from orderlens.llm.ann import op6_int8_block_neighbours
 from orderlens.llm.bpe import op3_distinct_word_bpe
+from orderlens.llm.byte_bpe import op12_rank_queue_bpe
 from orderlens.llm.collocations import op13_phrase_collocations
 from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
 from orderlens.llm.lm_score import op7_cross_entropy_difference
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_adaptive_rules": op8_adaptive_rules,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op12_rank_queue_bpe": op12_rank_queue_bpe,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
 # All pairs by an inverted index, components by recursion: for small tables only.
