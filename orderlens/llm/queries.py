@@ -10,6 +10,7 @@ from orderlens.llm.line_dedup import op5_fuzzy_line_dedup
 from orderlens.llm.lm_score import op7_cross_entropy_difference
 from orderlens.llm.near_dups import op4_setsketch_near_dups
 from orderlens.llm.packing import op1_best_fit_packing
+from orderlens.llm.prefix_trie import op11_prefix_trie
 from orderlens.llm.quality_crf import op2_line_crf_quality
 from orderlens.llm.quality_rules import op8_adaptive_rules
 from orderlens.llm.sharding import op9_virtual_slots
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_adaptive_rules": op8_adaptive_rules,
     "op9_virtual_slots": op9_virtual_slots,
     "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_rank_queue_bpe": op12_rank_queue_bpe,
     "op13_phrase_collocations": op13_phrase_collocations,
 }
@@ -83,4 +85,41 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 FROM left_over QUALIFY rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op4_setsketch_near_dups": NEAR_DUPS_SQL, "op13_phrase_collocations": COLLOCATIONS_SQL}
+# Prefixes as joined digests; a node's subtree is found through one member of each of its nodes.
+PREFIX_TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id AS c, length(coalesce(text, '')) AS chars, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT c, list_transform(string_split(cast(c AS VARCHAR), ''), lambda x: cast(ascii(x) AS BIGINT)) AS bytes FROM turns),
+convs AS (
+  SELECT c, c - c % 100 AS base,
+         xor(list_reduce(list_concat([4294967295], bytes), lambda crc, byte:
+               list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, step: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+             4294967295) % 6 AS h
+  FROM ids),
+rebuilt AS (
+  SELECT v.c, 0 AS part, t.place, t.key, t.chars FROM convs v JOIN turns t ON t.c = v.base AND t.place <= v.h
+  UNION ALL
+  SELECT v.c, 1, t.place, t.key, t.chars FROM convs v JOIN turns t ON t.c = v.c AND t.place > v.h),
+paths AS (
+  SELECT v.c, coalesce(p.keys, []) AS keys, coalesce(p.lengths, []) AS lengths
+  FROM convs v LEFT JOIN (SELECT c, list(key ORDER BY part, place) AS keys, list(chars ORDER BY part, place) AS lengths FROM rebuilt GROUP BY c) p ON v.c = p.c),
+depths AS (SELECT c, keys, lengths, unnest(range(0, len(keys) + 1)) AS d FROM paths),
+prefixes AS (
+  SELECT c, d, len(keys) = d AS ends, coalesce(lengths[d], 0) AS chars,
+         'k' || array_to_string(keys[1:d], ',') AS node, CASE WHEN d > 0 THEN 'k' || array_to_string(keys[1:d - 1], ',') END AS parent
+  FROM depths),
+nodes AS (
+  SELECT node, d, parent, chars, count(*) AS n, min(c) AS c, coalesce(string_agg(cast(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '') AS members
+  FROM prefixes GROUP BY node, d, parent, chars),
+children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE d > 0 GROUP BY parent),
+counted AS (SELECT x.*, coalesce(y.n, 0) AS n_children FROM nodes x LEFT JOIN children y ON x.node = y.node),
+subtrees AS (
+  SELECT a.node, cast(sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, cast(sum((x.n - 1) * x.chars) AS BIGINT) AS saved_tokens
+  FROM counted x JOIN prefixes a ON a.c = x.c AND a.d <= x.d GROUP BY a.node)
+SELECT x.c AS conv_id, x.d AS depth, p.c AS parent_conv_id, x.n AS n_convs, x.n_children, s.n_leaves, s.saved_tokens, sha256(x.members) AS ends_sha256
+FROM counted x JOIN subtrees s ON x.node = s.node LEFT JOIN nodes p ON x.parent = p.node
+"""
+
+ORACLES: dict[str, str] = {"op4_setsketch_near_dups": NEAR_DUPS_SQL, "op11_prefix_trie": PREFIX_TRIE_SQL, "op13_phrase_collocations": COLLOCATIONS_SQL}
