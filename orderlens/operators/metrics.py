@@ -2,10 +2,9 @@
 
 Inputs are scored rows with ``label``, ``prediction`` and a class-1 score. ROC and AUC
 group by distinct score first (partially combined, so ties and hot scores collapse
-map-side) and write the counts, then take running totals in descending score order with a
-two-level prefix sum: distinct scores are cut into blocks of about ``block_rows`` at
-approximate quantiles, block totals are prefixed in a window over one row per block, and
-each block runs its own window. No window ever sees all thresholds in one task.
+map-side) and write the counts, then take running totals in descending score order over
+ranges of about ``block_rows`` distinct scores (``orderlens.operators.ranges``). No window
+ever sees all thresholds in one task.
 """
 
 from __future__ import annotations
@@ -13,10 +12,11 @@ from __future__ import annotations
 from typing import Optional, Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import safe_ratio
+from orderlens.operators.ranges import in_ranges, running_totals
 from orderlens.sources.files import materialize
 
 
@@ -67,31 +67,13 @@ def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     return materialize(counts, "score-counts")
 
 
-def _running_desc(counts: DataFrame, block_rows: int = 10_000) -> DataFrame:
-    """Add cum_pos / cum_neg: totals over thresholds >= this one (descending order). The number
-    of blocks follows the number of distinct scores."""
-    blocks = max(1, -(-counts.count() // block_rows))
-    fracs = [i / blocks for i in range(1, blocks)]
-    if fracs:
-        cuts = counts.agg(F.array_distinct(F.percentile_approx("threshold", fracs, 10 * blocks)).alias("cuts"))
-    else:
-        cuts = counts.agg(F.array().cast("array<double>").alias("cuts"))
-    one = F.lit(0).alias("one")
-    c = (counts.select("*", one).join(F.broadcast(cuts.select("*", one)), "one")  # one row of cuts
-         .withColumn("blk", F.size(F.filter("cuts", lambda x: x > F.col("threshold")))).drop("cuts", "one"))
-    totals = c.groupBy("blk").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    # a row per block: a single-partition window here is bounded by the number of blocks
-    before = Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("blk", F.coalesce(F.sum("bpos").over(before), F.lit(0)).alias("off_pos"),
-                            F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("off_neg"))
-    w = Window.partitionBy("blk").orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return (c.join(F.broadcast(offsets), "blk")
-            .select("threshold", "pos", "neg",
-                    (F.sum("pos").over(w) + F.col("off_pos")).alias("cum_pos"),
-                    (F.sum("neg").over(w) + F.col("off_neg")).alias("cum_neg")))
-
-
-def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", block_rows: int = 10_000) -> DataFrame:
+def _running_desc(counts: DataFrame, block_rows: int = 100_000) -> DataFrame:
+    """Add cum_pos / cum_neg: totals over thresholds >= this one (descending order)."""
+    order = [F.col("threshold").desc()]
+    return running_totals(in_ranges(counts, order, block_rows), ["pos", "neg"], order)
+
+
+def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", block_rows: int = 100_000) -> DataFrame:
     """One ROC point per distinct score: threshold, tpr, fpr (ties collapsed). With a
     single class present the undefined rate is null. Rows without a label or score are out."""
     counts = _score_counts(df, label, score)
@@ -104,7 +86,7 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "probability", b
         safe_ratio(F.col("cum_neg").cast("double"), F.lit(N)).alias("fpr"))
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "probability", block_rows: int = 10_000) -> DataFrame:
+def auc(df: DataFrame, label: str = "label", score: str = "probability", block_rows: int = 100_000) -> DataFrame:
     """Exact area under the ROC curve (trapezoids over distinct scores; equals the
     Mann-Whitney statistic with ties counted half). Null with a single class. Rows without
     a label or score are out."""

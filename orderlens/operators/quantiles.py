@@ -6,14 +6,12 @@ size:
 
 1. rows are reduced to distinct values with their counts (a partially combined aggregate,
    so a dominant value is one row from each task), written once;
-2. each column's distinct values are cut into ranges of about ``range_values`` values at
-   approximate quantiles of the distinct values, and the rows of each range are counted;
-   the ranges that hold the wanted ranks follow from these counts;
-3. only the values of those ranges are put in order, one window per range, and the values
-   at the ranks are returned.
+2. these are written in ranges of about ``range_values`` values in the order of (column,
+   value), and the rows of each range are added up;
+3. the ranges that hold the wanted ranks follow from the sums before them; only their
+   values are put in order, one window per range, and the values at the ranks are returned.
 
-The driver sees cut points and counts (``values / range_values`` per column) and the
-values asked for; no task ever ranks more than a range.
+The driver sees a count per column and the values asked for; no task ever ranks more than a range.
 """
 
 from __future__ import annotations
@@ -24,6 +22,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.operators.ranges import RANGE, in_ranges, totals_before
 from orderlens.sources.files import materialize
 
 
@@ -35,61 +34,36 @@ def _value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("cid", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _ranged(counts: DataFrame, cuts: DataFrame) -> DataFrame:
-    """``counts`` with the number of its range: how many of the column's cuts are below the value."""
-    return (counts.join(F.broadcast(cuts), "cid")  # a row per column
-            .withColumn("b", F.size(F.filter("cuts", lambda x: x < F.col("v")))).drop("cuts"))
-
-
-def ranked_ranges(df: DataFrame, columns: Sequence[str], probs: Sequence[float], range_values: int = 200_000):
-    """(rows of the ranges that hold the wanted ranks: cid, b, v, n, before; per column its row count and ranks)."""
-    spark = df.sparkSession
-    counts = materialize(_value_counts(df, columns), "value-counts")
-    sizes = {r["cid"]: r for r in counts.groupBy("cid").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("rows")).collect()}
-    fanout = max([1, *(-(-r["values"] // range_values) for r in sizes.values())])
-    if fanout > 1:
-        fracs = [i / fanout for i in range(1, fanout)]
-        cuts = counts.groupBy("cid").agg(F.array_distinct(F.percentile_approx("v", fracs, 20 * fanout)).alias("cuts"))
-    else:
-        cuts = counts.groupBy("cid").agg(F.array().cast("array<double>").alias("cuts"))
-    ranged = _ranged(counts, cuts)
-    totals = {}
-    for r in ranged.groupBy("cid", "b").agg(F.sum("n").alias("rows")).orderBy("cid", "b").collect():
-        totals.setdefault(r["cid"], []).append((r["b"], r["rows"]))
-    ranks, wanted = {}, set()
-    for cid, r in sizes.items():
-        hs = [p * (r["rows"] - 1) for p in probs]
-        ranks[cid] = sorted({k for h in hs for k in (math.floor(h), math.ceil(h))})
-        before = 0
-        for b, rows in totals[cid]:
-            if any(before <= k < before + rows for k in ranks[cid]):
-                wanted.add((cid, b, before))
-            before += rows
-    held = spark.createDataFrame(sorted(wanted), "cid int, b int, before long")
-    return ranged.join(F.broadcast(held), ["cid", "b"]), {cid: r["rows"] for cid, r in sizes.items()}, ranks
+def ranked_ranges(counts: DataFrame, ranks: DataFrame, range_values: int = 200_000) -> DataFrame:
+    """cid, v, n, before: the value counts in the ranges that hold the wanted ``ranks`` (cid, k),
+    with the rows of the column before the range."""
+    ranged = in_ranges(counts, [F.col("cid"), F.col("v")], range_values)
+    sums = totals_before(ranged, ["n"], ["cid"]).select("cid", RANGE, F.col("n").alias("rows"), F.col("before_n").alias("before"))
+    holds = (F.col("k") >= F.col("before")) & (F.col("k") < F.col("before") + F.col("rows"))
+    held = sums.join(F.broadcast(ranks), "cid").where(holds).select("cid", RANGE, "before").distinct()
+    return ranged.join(F.broadcast(held), ["cid", RANGE])  # a range per wanted rank at most
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], range_values: int = 200_000) -> dict:
     """{column: [value at each prob]} with linear interpolation between order statistics
     (DuckDB ``quantile_cont``, Spark ``percentile``); None for an all-null column."""
     columns = list(columns)
-    rows, sizes, ranks = ranked_ranges(df, columns, probs, range_values)
-    values: dict[int, dict[int, float]] = {}
-    if sizes:
-        upto = F.sum("n").over(Window.partitionBy("cid", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-        ends = rows.withColumn("end", F.col("before") + upto)
-        k = df.sparkSession.createDataFrame([(cid, x) for cid, xs in ranks.items() for x in xs], "cid int, k long")
-        hit = ends.join(F.broadcast(k), "cid").where((F.col("k") < F.col("end")) & (F.col("k") >= F.col("end") - F.col("n")))
-        for r in hit.select("cid", "k", "v").collect():  # two values per column and prob at most
-            values.setdefault(r["cid"], {})[r["k"]] = r["v"]
-    out = {}
+    counts = materialize(_value_counts(df, columns), "value-counts")
+    sizes = {r["cid"]: r["rows"] for r in counts.groupBy("cid").agg(F.sum("n").alias("rows")).collect()}
+    spots = {(cid, p): p * (rows - 1) for cid, rows in sizes.items() for p in probs}
+    wanted = sorted({(cid, k) for (cid, _), h in spots.items() for k in (math.floor(h), math.ceil(h))})
+    found = {}
+    if wanted:
+        ranks = df.sparkSession.createDataFrame(wanted, "cid int, k long")
+        upto = F.sum("n").over(Window.partitionBy("cid", RANGE).orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        ends = ranked_ranges(counts, ranks, range_values).withColumn("end", F.col("before") + upto)
+        hit = ends.join(F.broadcast(ranks), "cid").where((F.col("k") < F.col("end")) & (F.col("k") >= F.col("end") - F.col("n")))
+        found = {(r["cid"], r["k"]): r["v"] for r in hit.select("cid", "k", "v").collect()}  # two values per column and prob at most
+    out = {c: [None for _ in probs] for c in columns}
     for cid, c in enumerate(columns):
-        if cid not in sizes:
-            out[c] = [None for _ in probs]
-            continue
-        out[c] = []
-        for p in probs:
-            h = p * (sizes[cid] - 1)
-            low, high = values[cid][math.floor(h)], values[cid][math.ceil(h)]
-            out[c].append(low + (h - math.floor(h)) * (high - low))
+        for i, p in enumerate(probs):
+            if cid in sizes:
+                h = spots[cid, p]
+                low, high = found[cid, math.floor(h)], found[cid, math.ceil(h)]
+                out[c][i] = low + (h - math.floor(h)) * (high - low)
     return out

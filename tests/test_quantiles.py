@@ -2,7 +2,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.operators.quantiles import exact_quantiles, ranked_ranges
+from orderlens.operators import ranges
+from orderlens.operators.quantiles import _value_counts, exact_quantiles, ranked_ranges
+from orderlens.operators.ranges import RANGE, in_ranges, running_totals
+from orderlens.sources.files import materialize
 
 
 @pytest.mark.parametrize("range_values", [100_000, 40, 7])
@@ -29,11 +32,35 @@ def test_dominant_value_does_not_reach_the_ranking(spark):
     got = exact_quantiles(df, ["x", "y"], probs, range_values=100)
     assert np.allclose(got["x"], np.percentile(values, [100 * p for p in probs]))
     assert np.allclose(got["y"], np.percentile(np.arange(n) % 5000, [100 * p for p in probs]))
-    rows, _, _ = ranked_ranges(df, ["x", "y"], probs, range_values=100)
-    assert rows.count() <= 2 * len(probs) * 2 * 150
-    assert rows.groupBy("cid", "b").count().agg(F.max("count")).first()[0] <= 150
+    counts = materialize(_value_counts(df, ["x", "y"]), "test-counts")
+    ranks = spark.createDataFrame([(cid, int(p * (n - 1))) for cid in (0, 1) for p in probs], "cid int, k long")
+    rows = ranked_ranges(counts, ranks, range_values=100)
+    assert rows.count() <= 2 * len(probs) * 300
+    assert rows.groupBy("cid", RANGE).count().agg(F.max("count")).first()[0] <= 300
 
 
 def test_all_null_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"], [0.01, 0.99]) == {"a": [None, None]}
+
+
+def test_a_thousand_ranges(spark):
+    """Every row knows its range, the plan looks through no list of cuts, and running totals agree with a global sort."""
+    df = spark.range(0, 40_000, 1, 4).select((F.col("id") * 7919 % 39_989).alias("x"), (F.col("id") % 5).alias("y"))
+    rows = materialize(df.groupBy("x").agg(F.sum("y").alias("y")), "test-rows")
+    ranged = in_ranges(rows, [F.col("x")], 40)
+    sizes = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).orderBy(RANGE).collect()
+    assert len(sizes) >= 990 and all(a["hi"] < b["lo"] for a, b in zip(sizes, sizes[1:]))
+    out = running_totals(ranged, ["y"], [F.col("x")])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "filter(" not in plan.lower().replace("filter (", "")
+    got = [(r["x"], r["cum_y"]) for r in out.orderBy("x").collect()]
+    known = sorted((r["x"], r["y"]) for r in rows.collect())
+    assert [x for x, _ in got] == [x for x, _ in known]
+    assert [c for _, c in got] == np.cumsum([y for _, y in known]).tolist()
+
+
+def test_ranges_are_bounded_in_number(spark, monkeypatch):
+    monkeypatch.setattr(ranges, "MAX_RANGES", 3)
+    rows = materialize(spark.range(100).select(F.col("id").alias("x")), "test-rows")
+    assert in_ranges(rows, [F.col("x")], 2).select(RANGE).distinct().count() <= 3
