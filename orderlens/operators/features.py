@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from typing import Optional
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import days_between, minutes_between, safe_ratio
-from orderlens.sources.files import Tables
+from orderlens.sources.files import Tables, materialize
 
 # The 21 model inputs, in the order the training formula and the scoring assembler use.
 FEATURE_COLUMNS = [
@@ -66,47 +66,49 @@ def time_features(orders: DataFrame) -> DataFrame:
     )
 
 
+def product_facts(products: DataFrame) -> DataFrame:
+    """One row per product key: sums over the rows that carry it (one, where keys are unique),
+    how many they are, and the categories. A join on it never multiplies item rows."""
+    volume = F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
+    sums = {"volume": volume, "weight": F.col("product_weight_g"), "name": F.col("product_name_lenght"),
+            "description": F.col("product_description_lenght"), "photos": F.col("product_photos_qty")}
+    return products.where(F.col("product_id").isNotNull()).groupBy(F.col("product_id").alias("_pid")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.collect_set("product_category_name").alias("_categories"),
+        *[F.sum(c).alias(f"_{k}") for k, c in sums.items()], *[F.count(c).alias(f"_known_{k}") for k, c in sums.items()])
+
+
 def item_aggregates(items: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per order from one pass over items.
-
-    Items are first reduced to one row per (order, product): the sums over an order and its
-    number of products are taken there, before any join, and the product side meets the
-    reduced rows. ``order_price`` is summed again after the join, so that the price check
-    catches a product table whose keys are not unique. Product statistics only see items
-    whose product is known: ``n_product_items`` counts them and gates the distinct-category
-    count, which is null for an order with none.
+    """One row per order from one pass over items. Items without an order belong to none and are left out.
+
+    Items are first reduced to one row per (order, product), products to one row per key, and
+    their join to one row per order; all three combine on the map side, so neither a hot
+    order nor a hot product sits in one task. An item counts in the product statistics once
+    for each product row of its key, as in a join of the rows: ``order_price`` is summed that
+    way and differs from ``total_item_price`` where product keys are not unique.
+    ``n_product_items`` gates the distinct-category count, which is null for an order
+    without a known product.
     """
-    prod = products.select(
-        F.col("product_id").alias("_pid"),
-        "product_category_name",
-        (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("_volume"),
-        "product_weight_g", "product_name_lenght", "product_description_lenght", "product_photos_qty",
-    )
-    lines = items.groupBy("order_id", "product_id").agg(
+    lines = items.where(F.col("order_id").isNotNull()).groupBy("order_id", "product_id").agg(
         F.sum("price").alias("_price"), F.sum("shipping_cost").alias("_shipping"),
         F.max("order_item_id").alias("_item"), F.count(F.lit(1)).alias("_n"))
-    # an order's rows here are its distinct products
-    order = Window.partitionBy("order_id")
-    lines = lines.withColumns({
-        "_total_price": F.sum("_price").over(order), "_total_shipping_cost": F.sum("_shipping").over(order),
-        "_count": F.max("_item").over(order), "_products": F.count("product_id").over(order)})
+    prod = product_facts(products)
     joined = lines.join(prod, lines["product_id"] == prod["_pid"], "left")
 
     def weighted_avg(c: str):
-        return safe_ratio(F.sum(F.col(c) * F.col("_n")).cast("double"), F.sum(F.when(F.col(c).isNotNull(), F.col("_n"))))
+        return safe_ratio(F.sum(F.col(f"_{c}") * F.col("_n")).cast("double"), F.sum(F.col(f"_known_{c}") * F.col("_n")))
     agg = joined.groupBy("order_id").agg(
-        F.max("_total_price").alias("total_item_price"),
-        F.max("_count").alias("order_item_count"),
-        F.max("_products").alias("order_diversity"),
-        F.max("_total_shipping_cost").alias("_total_shipping_cost"),
-        F.sum("_price").alias("order_price"),
-        F.coalesce(F.sum(F.when(F.col("_pid").isNotNull(), F.col("_n"))), F.lit(0)).alias("n_product_items"),
-        F.size(F.collect_set("product_category_name")).cast("bigint").alias("_n_categories"),  # bounded by the category names
+        F.sum("_price").alias("total_item_price"),
+        F.max("_item").alias("order_item_count"),
+        F.count("product_id").alias("order_diversity"),  # a row here is one product of the order
+        F.sum("_shipping").alias("_total_shipping_cost"),
+        F.sum(F.col("_price") * F.coalesce(F.col("_rows"), F.lit(1))).alias("order_price"),
+        F.coalesce(F.sum(F.col("_rows") * F.col("_n")), F.lit(0)).alias("n_product_items"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("_categories")))).cast("bigint").alias("_n_categories"),  # bounded by the category names
         F.sum(F.col("_volume") * F.col("_n")).alias("order_volume_cm3"),
-        (F.sum(F.col("product_weight_g") * F.col("_n")) / 1000).alias("order_weight_kg"),
-        weighted_avg("product_name_lenght").alias("avg_prod_name_lenght"),
-        weighted_avg("product_description_lenght").alias("avg_prod_description_lenght"),
-        weighted_avg("product_photos_qty").alias("avg_product_photos_qty"),
+        (F.sum(F.col("_weight") * F.col("_n")) / 1000).alias("order_weight_kg"),
+        weighted_avg("name").alias("avg_prod_name_lenght"),
+        weighted_avg("description").alias("avg_prod_description_lenght"),
+        weighted_avg("photos").alias("avg_product_photos_qty"),
     )
     return agg.select(
         "*",
@@ -176,14 +178,15 @@ def order_features(tables: Tables, start: Optional[str] = None, end: Optional[st
     """The independent-variable table: one row per order in the purchase window (B23).
 
     Customer features use every order unless ``customer_as_of_window`` limits them to the
-    window (the studied workflow uses all orders, including later ones).
+    window (the studied workflow uses all orders, including later ones). The payments of an
+    order, which the order and its customer both need, are aggregated and written once.
     """
     windowed = in_window(tables.orders, start, end, end_inclusive_day)
     timed = time_features(windowed).select(
         "order_id", "customer_id", "order_status", "order_processing_time", "delivery_speed_days",
         "delivery_accuracy_days", "order_month", "order_quarter")
     items = item_aggregates(tables.items, tables.products)
-    pays = payment_aggregates(tables.payments)
+    pays = materialize(payment_aggregates(tables.payments), "order-payments")
     cust_orders = windowed if customer_as_of_window else tables.orders
     cust = customer_value(cust_orders, pays, per_order=per_order_customer)
 

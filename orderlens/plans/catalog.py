@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderlens.operators.audit import audited_split_base
 from orderlens.operators import encode, insights, metrics, quality, reviews, score
 from orderlens.operators.features import (
     IMPUTE_COLUMNS, NUMERIC_FEATURES, WINSOR_COLUMNS, basetable, in_window, item_aggregates,
@@ -25,7 +26,7 @@ from orderlens.plans.oracle import INTEGRAL
 from orderlens.plans.params import DECIMALS, W_END, W_START
 from orderlens.session import scratch_path
 from orderlens.sources.binding import bind_orders, bind_scored, bind_tables
-from orderlens.sources.files import TABLE_FILES, read_csv, read_tables, register_views, write_csv, write_parquet
+from orderlens.sources.files import TABLE_FILES, materialize, read_csv, read_tables, register_views, write_csv, write_parquet
 from orderlens.sources.schemas import SCHEMAS
 from pyspark.sql import types as T
 
@@ -59,8 +60,17 @@ def _prepared(spark, sf):
     return prepare(_base(spark, sf), IMPUTE_COLUMNS, WINSOR_COLUMNS, winsor_method="exact")
 
 
+AUDITED = ["order_id", *NUMERIC_FEATURES, "order_status", "payment_types"]
+
+
+def _audited(spark, sf):
+    """(split base table, audit), from one job that writes the table."""
+    t = bind_tables(spark, sf)
+    return audited_split_base(t, reviews.dedupe_reviews(t.reviews), W_START, W_END, AUDITED)
+
+
 def _split_base(spark, sf):
-    return keyed_split(dropna_subset(_base(spark, sf), ["payment_types"]))
+    return _audited(spark, sf)[0]
 
 
 def _feature_cols(df: DataFrame, extra=()):
@@ -122,7 +132,7 @@ def order_time_features(spark, sf):
 
 
 def label_slices(spark, sf):
-    b = _base(spark, sf)
+    b = materialize(_base(spark, sf).select("label"), "labels")  # read by both filters
     return (b.where("label == 0").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
             .unionByName(b.where("label == 1").groupBy("label").agg(F.count(F.lit(1)).alias("n"))))
 
@@ -147,9 +157,7 @@ def rows_with_any_null(spark, sf):
 
 
 def null_audit(spark, sf):
-    f = _features(spark, sf)
-    return quality.null_audit(f, ["order_id", *NUMERIC_FEATURES, "order_status", "payment_types"]).select(
-        "column_name", _i("n_null"))
+    return _audited(spark, sf)[1].null_frame(spark)
 
 
 def numeric_profile(spark, sf):
@@ -159,7 +167,7 @@ def numeric_profile(spark, sf):
 
 
 def price_invariant(spark, sf):
-    return quality.price_invariant(_features(spark, sf))
+    return _audited(spark, sf)[1].check_frame(spark)
 
 
 # ---------------------------------------------------------------- reviews
@@ -256,7 +264,7 @@ def keyed_split_q(spark, sf):
 
 
 def split_sizes(spark, sf):
-    return _split_base(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+    return _audited(spark, sf)[1].split_frame(spark)
 
 
 def split_reunion(spark, sf):

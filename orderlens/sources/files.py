@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, fields
 from typing import Optional
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,9 +53,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
     return rows.withColumns({c: F.try_to_timestamp(F.col(c)) for c in stamps}) if stamps else rows
 
 
+def corrupt_counter(rows: DataFrame, name: str = "corrupt") -> tuple[DataFrame, Observation]:
+    """``rows`` of a ``read_csv(keep_corrupt=True)`` without that column, and an observation whose
+    ``corrupt`` and ``rows`` are there once an action has read them all."""
+    seen = Observation(name)
+    # All columns are counted, as the CSV reader only checks the ones that a query needs.
+    every = [F.count(F.col(c)).alias(f"known_{c}") for c in rows.columns if c != CORRUPT]
+    counted = rows.observe(seen, F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt"), F.count(F.lit(1)).alias("rows"), *every)
+    return counted.drop(CORRUPT), seen
+
+
 def corrupt_records(rows: DataFrame) -> int:
     """How many lines of a ``read_csv(keep_corrupt=True)`` did not fit the schema."""
-    # All columns are counted, as the CSV reader only checks the ones that a query needs.
     return rows.agg(F.count_if(F.col(CORRUPT).isNotNull()), *[F.count(c) for c in rows.columns]).first()[0]
 
 
@@ -82,14 +91,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def read_tables(spark: SparkSession, folder: str, fmt: str = "csv", with_reviews: bool = True) -> Tables:
-    """Load ``orders.csv``, ``order_items.csv`` ... (or ``.parquet``) from one folder."""
+def read_tables(spark: SparkSession, folder: str, fmt: str = "csv", with_reviews: bool = True,
+                counters: Optional[dict[str, Observation]] = None) -> Tables:
+    """Load ``orders.csv``, ``order_items.csv`` ... (or ``.parquet``) from one folder.
+
+    With a dict as ``counters``, an observation per CSV table is put there under the table's
+    name: the first job that reads a table also counts its lines and those that do not fit."""
     out = {}
     for attr, name in TABLE_FILES.items():
         if attr == "reviews" and not with_reviews:
             continue
         path = f"{folder.rstrip('/')}/{name}.{fmt}"
-        out[attr] = read_csv(spark, path, SCHEMAS[name]) if fmt == "csv" else read_parquet(spark, path)
+        if fmt != "csv":
+            out[attr] = read_parquet(spark, path)
+        elif counters is None:
+            out[attr] = read_csv(spark, path, SCHEMAS[name])
+        else:
+            out[attr], counters[name] = corrupt_counter(read_csv(spark, path, SCHEMAS[name], keep_corrupt=True), name)
     return Tables(**out)
 
 
