@@ -1,6 +1,7 @@
 """Deterministic split, mean imputation, winsorising and min-max scaling.
 
-Every fit is one aggregate over the training rows that returns one number per column
+Imputer and winsoriser are ML estimators: their fitted models are stages that a
+``PipelineModel`` saves, loads and applies with the others. Every fit is one aggregate over the training rows that returns one number per column
 (bounded, so it is collected); every apply is a single ``select`` of literal-parameter
 expressions over all rows at once. The split is a column, not three DataFrames, so
 train / test / validation are prepared in one pass and filtered afterwards.
@@ -11,6 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Optional, Sequence
 
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,92 +47,114 @@ def _is_integral(dt: T.DataType) -> bool:
     return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-@dataclass
-class MeanImputer:
-    """Fill nulls with the training mean. Into an integral column the mean is truncated
-    and the type kept (as ``na.fill`` does); ``int_mode="double"`` casts to double instead."""
+class _FittedColumns(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """A model that is a few numbers per column, kept as params and so saved with the stage."""
 
-    columns: Sequence[str]
-    int_mode: str = "truncate"
-    means: dict = field(default_factory=dict)
+    def __init__(self):
+        super().__init__()
+        self.columns = Param(self, "columns", "the columns that the model changes")
 
-    def fit(self, train: DataFrame) -> "MeanImputer":
-        row = train.agg(*[F.avg(c).alias(c) for c in self.columns]).first()
-        self.means = {c: row[c] for c in self.columns}
-        return self
+    def names(self) -> list[str]:
+        return self.getOrDefault(self.columns)
 
-    def params(self, spark) -> DataFrame:
-        rows = [(c, None if v is None else float(v)) for c, v in self.means.items()]
-        return spark.createDataFrame(rows, "column_name string, mean double")
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        types = {f.name: f.dataType for f in df.schema.fields}
+class MeanImputerModel(_FittedColumns):
+    """Fills nulls with the means of the fit; a column without a mean (all null there) keeps its nulls."""
+
+    def __init__(self, means: Optional[dict] = None, int_mode: str = "truncate"):
+        super().__init__()
+        self.values = Param(self, "values", "mean of each column, null where there was none")
+        self.intMode = Param(self, "intMode", "truncate: an integral column keeps its type; double: it becomes double")
+        means = means or {}
+        self._set(columns=list(means), values=[None if m is None else float(m) for m in means.values()], intMode=int_mode)
+
+    @property
+    def means(self) -> dict:
+        return dict(zip(self.names(), self.getOrDefault(self.values)))
+
+    def parameters(self, spark) -> DataFrame:
+        return spark.createDataFrame(list(self.means.items()), "column_name string, mean double")
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        means, truncate = self.means, self.getOrDefault(self.intMode) == "truncate"
         exprs = []
         for f in df.schema.fields:
-            c = f.name
-            if c not in self.means or self.means[c] is None:
-                exprs.append(F.col(c))
-                continue
-            fill = F.lit(float(self.means[c]))
-            if _is_integral(types[c]):
-                if self.int_mode == "truncate":
-                    exprs.append(F.coalesce(F.col(c), fill.cast(types[c])).alias(c))
-                else:
-                    exprs.append(F.coalesce(F.col(c).cast("double"), fill).alias(c))
+            mean, col = means.get(f.name), F.col(f"`{f.name}`")
+            if mean is None:
+                exprs.append(col)
+            elif _is_integral(f.dataType) and not truncate:
+                exprs.append(F.coalesce(col.cast("double"), F.lit(mean)).alias(f.name))
             else:
-                exprs.append(F.coalesce(F.col(c), fill.cast(types[c])).alias(c))
+                exprs.append(F.coalesce(col, F.lit(mean).cast(f.dataType)).alias(f.name))
         return df.select(*exprs)
 
 
-@dataclass
-class Winsorizer:
-    """Clip columns to [q(lower), q(upper)] fitted on training rows; nulls stay null and
-    clipped columns become double.
+class MeanImputer(Estimator):
+    """Fill nulls with the training mean. Into an integral column the mean is truncated
+    and the type kept (as ``na.fill`` does); ``int_mode="double"`` casts to double instead."""
 
-    ``method="approx"`` is Spark's GK sketch with relative error ``rel_err`` (0.01 is the
-    studied workflow's setting, where the 1% and 99% points come back as min and max).
-    ``method="exact"`` is linear-interpolated percentiles (``percentile_cont``), found by
-    distributed selection (``orderlens.operators.quantiles``).
-    """
+    def __init__(self, columns: Sequence[str], int_mode: str = "truncate"):
+        super().__init__()
+        self.column_names, self.int_mode = list(columns), int_mode
 
-    columns: Sequence[str]
-    lower: float = 0.01
-    upper: float = 0.99
-    method: str = "exact"
-    rel_err: float = 0.01
-    bounds: dict = field(default_factory=dict)
+    def _fit(self, train: DataFrame) -> MeanImputerModel:
+        row = train.agg(*[F.avg(c).alias(c) for c in self.column_names]).first()
+        return MeanImputerModel({c: row[c] for c in self.column_names}, self.int_mode)
 
-    def fit(self, train: DataFrame) -> "Winsorizer":
-        if self.method == "approx":
-            acc = max(1, int(round(1.0 / self.rel_err)))
-            row = train.agg(*[
-                F.percentile_approx(F.col(c).cast("double"), [self.lower, self.upper], acc).alias(c)
-                for c in self.columns]).first()
-            self.bounds = {c: (tuple(row[c]) if row[c] else (None, None)) for c in self.columns}
-        else:
-            from orderlens.operators.quantiles import exact_quantiles
-            q = exact_quantiles(train, self.columns, [self.lower, self.upper])
-            self.bounds = {c: (q[c][0], q[c][1]) for c in self.columns}
-        return self
 
-    def params(self, spark) -> DataFrame:
-        rows = [(c, lo, hi) for c, (lo, hi) in self.bounds.items()]
-        return spark.createDataFrame(rows, "column_name string, lo double, hi double")
+class WinsorizerModel(_FittedColumns):
+    """Clips columns to the bounds of the fit; nulls stay null, clipped columns become double."""
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        exprs = []
+    def __init__(self, bounds: Optional[dict] = None):
+        super().__init__()
+        self.lower = Param(self, "lower", "lower bound of each column, null where there was no value")
+        self.upper = Param(self, "upper", "upper bound of each column, null where there was no value")
+        ends = [[None if x is None else float(x) for x in b] for b in (bounds or {}).values()]
+        self._set(columns=list(bounds or {}), lower=[lo for lo, _ in ends], upper=[hi for _, hi in ends])
+
+    @property
+    def bounds(self) -> dict:
+        return {c: (lo, hi) for c, lo, hi in zip(self.names(), self.getOrDefault(self.lower), self.getOrDefault(self.upper))}
+
+    def parameters(self, spark) -> DataFrame:
+        return spark.createDataFrame([(c, lo, hi) for c, (lo, hi) in self.bounds.items()], "column_name string, lo double, hi double")
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        bounds, exprs = self.bounds, []
         for c in df.columns:
-            if c in self.bounds:
-                lo, hi = self.bounds[c]
-                if lo is None:
-                    exprs.append(F.col(c).cast("double").alias(c))
-                else:
-                    exprs.append(clip(F.col(c), float(lo), float(hi)).cast("double").alias(c))
+            col = F.col(f"`{c}`")
+            if c in bounds:
+                lo, hi = bounds[c]
+                exprs.append((col if lo is None else clip(col, lo, hi)).cast("double").alias(c))
             else:
-                exprs.append(F.col(c))
+                exprs.append(col)
         return df.select(*exprs)
 
 
+class Winsorizer(Estimator):
+    """Clip columns to [q(lower), q(upper)] fitted on training rows.
+
+    ``method="exact"`` is linear-interpolated percentiles (``percentile_cont``), found by
+    distributed selection (``orderlens.operators.quantiles``). ``method="approx"`` is Spark's
+    GK sketch with relative error ``rel_err`` (0.01 is the studied workflow's setting, where
+    the 1% and 99% points come back as min and max).
+    """
+
+    def __init__(self, columns: Sequence[str], lower: float = 0.01, upper: float = 0.99, method: str = "exact", rel_err: float = 0.01):
+        super().__init__()
+        self.column_names, self.lower, self.upper, self.method, self.rel_err = list(columns), lower, upper, method, rel_err
+
+    def _fit(self, train: DataFrame) -> WinsorizerModel:
+        probs = [self.lower, self.upper]
+        if self.method == "approx":
+            acc = max(1, int(round(1.0 / self.rel_err)))
+            row = train.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(c) for c in self.column_names]).first()
+            return WinsorizerModel({c: tuple(row[c]) if row[c] else (None, None) for c in self.column_names})
+        from orderlens.operators.quantiles import exact_quantiles
+        q = exact_quantiles(train, self.column_names, probs)
+        return WinsorizerModel({c: tuple(q[c]) for c in self.column_names})
+
+
 @dataclass
 class ScalarMinMax:
     """Min-max scale numeric columns to [0, 1] with training min / max; a constant column
@@ -167,8 +193,8 @@ class Prepared:
     """Output of ``prepare``: all rows with a ``split`` column, plus the fitted steps."""
 
     data: DataFrame
-    imputer: MeanImputer
-    winsorizer: Winsorizer
+    imputer: MeanImputerModel
+    winsorizer: WinsorizerModel
 
     def split(self, name: str) -> DataFrame:
         return only(self.data, name)

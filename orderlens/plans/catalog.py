@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.operators.audit import audited_split_base
@@ -215,12 +215,9 @@ def payment_type_sets(spark, sf):
 
 
 def payment_multihot(spark, sf):
-    """(order, type) cells of the multi-hot encoding, slots in the order of the type names. The
-    vocabulary stays a DataFrame: its numbering is a window over one row per type."""
-    pays = payment_aggregates(bind_tables(spark, sf).payments).select("order_id", F.explode("payment_types").alias("payment_type"))
-    slots = pays.select("payment_type").distinct().withColumn("slot", F.row_number().over(Window.orderBy("payment_type")) - 1)
-    return pays.join(slots, "payment_type").select("order_id", F.col("slot").cast("bigint").alias("slot"), "payment_type",
-                                                   F.lit(1.0).alias("value"))
+    """A 0/1 column for each payment type, from the vectors of the pipeline's encoder."""
+    pays = payment_aggregates(bind_tables(spark, sf).payments).select("order_id", "payment_types")
+    return encode.multihot_columns(materialize(pays, "payment-types"))
 
 
 def product_features(spark, sf):
@@ -278,7 +275,7 @@ def split_reunion(spark, sf):
 def impute_means(spark, sf):
     s = _split_base(spark, sf)
     imp = MeanImputer(IMPUTE_COLUMNS).fit(only(s, TRAIN))
-    return imp.params(spark).select("column_name", _r("mean"))
+    return imp.parameters(spark).select("column_name", _r("mean"))
 
 
 def impute_apply(spark, sf):
@@ -291,7 +288,7 @@ def winsor_bounds(spark, sf):
     s = _split_base(spark, sf)
     filled = MeanImputer(IMPUTE_COLUMNS).fit(only(s, TRAIN)).transform(s)
     w = Winsorizer(WINSOR_COLUMNS, method="exact").fit(only(filled, TRAIN))
-    return w.params(spark).select("column_name", _r("lo"), _r("hi"))
+    return w.parameters(spark).select("column_name", _r("lo"), _r("hi"))
 
 
 def winsorize(spark, sf):

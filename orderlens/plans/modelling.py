@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import metrics as M
 from orderlens.operators import train as TR
+from orderlens.operators.encode import fit_formula
+from orderlens.operators.features import NUMERIC_FEATURES
 from orderlens.operators.prep import TEST, TRAIN, VALIDATION
 from orderlens.operators.score import merge_predictions, score
 from orderlens.plans.catalog import scoring_columns
-from orderlens.plans.params import SCORE_END, SCORE_START, W_END, W_START
+from orderlens.plans.params import DECIMALS, SCORE_END, SCORE_START, W_END, W_START
 from orderlens.session import scratch_path
 from orderlens.sources.binding import bind_tables
 from orderlens.sources.files import read_csv, write_csv
@@ -55,9 +57,18 @@ def _multi(wf: Workflow, make, grid, metric, scaled=False):
     return sel, test_metrics
 
 
+#: All columns of the prepared table but its keys, the split, the raw score and the check columns.
+FORMULA = "label ~ . - order_id - split - review_score - order_price - avg_product_photos_qty - n_product_items"
+
+
 def assemble_features(spark, sf):
-    a = _wf(spark, sf).assembled()
-    return a.select("order_id", "split", "label", F.size(vector_to_array("features")).alias("n_slots"))
+    """The vectors of the formula fitted on the training rows: their width, and each numeric feature read from its slot."""
+    data = _wf(spark, sf).prepared.data
+    out = fit_formula(data.where(F.col("split") == TRAIN), FORMULA).transform(data)
+    slot = {name: i for i, name in M.slot_names(out)}
+    v = vector_to_array("features")
+    return out.select("order_id", "split", "label", F.size(v).cast("bigint").alias("n_slots"),
+                      *[F.round(v[slot[c]] + (1e-9 if c == "avg_cust_value" else 0.0), DECIMALS).alias(c) for c in NUMERIC_FEATURES])
 
 
 def train_rf_binary(spark, sf):
@@ -121,28 +132,38 @@ def _best_lr_multi(spark, sf):
 def _saved(spark, sf, name, model) -> str:
     """Path of the saved bundle of a chosen model."""
     def make():
-        return _wf(spark, sf).bundle(model()).save(spark, scratch_path(spark, f"bundle-{name}"))
+        return _wf(spark, sf).bundle(model()).save(scratch_path(spark, f"bundle-{name}"))
     return _once(spark, sf, f"bundle-{name}", make)
 
 
 def scoring_features(spark, sf):
     """Numeric features of the unseen window's orders, from a loaded bundle and these orders' tables alone."""
-    bundle = ScoringBundle.load(spark, _saved(spark, sf, "gbt", lambda: _best_gbt(spark, sf)))
+    bundle = ScoringBundle.load(_saved(spark, sf, "gbt", lambda: _best_gbt(spark, sf)))
     return scoring_columns(bundle.prepare(unseen(bind_tables(spark, sf), SCORE_START, SCORE_END)))
 
 
+def _measures(model, test):
+    """AUC of a binary model, accuracy of another."""
+    if model.numClasses == 2:
+        return TR.binary_auc(model, test)
+    return TR.multi_accuracy(model, test)
+
+
 def model_roundtrip(spark, sf):
-    """Save a model of each family as a bundle, load it, and compare its predictions on the test split."""
+    """Save a model of each family as a bundle, load it, and compare its predictions and its metric on the test split."""
     wf = _wf(spark, sf)
-    train, test, multi = wf.split(TRAIN), wf.split(TEST), wf.multiclass(TRAIN)
+    train, multi = wf.split(TRAIN), wf.multiclass(TRAIN)
+    binary_test, multi_test = wf.split(TEST), wf.multiclass(TEST)
     models = {"gbt_binary": _best_gbt(spark, sf), "lr_binary": TR.lr(TR.LR_BINARY_GRID[0]).fit(train),
               "lr_multi": _best_lr_multi(spark, sf), "rf_multi": TR.rf({"numTrees": 10, "maxDepth": 5}).fit(multi)}
     out = None
     for name, model in models.items():
-        again = ScoringBundle.load(spark, wf.bundle(model).save(spark, scratch_path(spark, f"bundle-{name}"))).model
-        both = score(model, test, with_probability=False).withColumnRenamed("prediction", "before").join(
-            score(again, test, with_probability=False).withColumnRenamed("prediction", "after"), "order_id")
-        row = both.agg(F.lit(name).alias("model"), F.coalesce(F.bool_and(F.col("before") == F.col("after")), F.lit(False)).alias("same"))
+        again = ScoringBundle.load(wf.bundle(model).save(scratch_path(spark, f"bundle-{name}"))).model
+        test = binary_test if model.numClasses == 2 else multi_test
+        both = score(model, test, with_probability=False).withColumnRenamed("prediction", "before").distinct().join(
+            score(again, test, with_probability=False).withColumnRenamed("prediction", "after").distinct(), "order_id")
+        row = both.agg(F.lit(name).alias("model"), F.coalesce(F.bool_and(F.col("before") == F.col("after")), F.lit(False)).alias("same"),
+                       F.lit(_measures(model, test) == _measures(again, test)).alias("same_metric"))
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -151,7 +172,7 @@ def model_params(spark, sf):
     """Parameters of the reloaded GBT and of the reloaded five-class LR."""
     out = None
     for name, model in (("gbt", _best_gbt), ("lr_multi", _best_lr_multi)):
-        loaded = ScoringBundle.load(spark, _saved(spark, sf, name, lambda: model(spark, sf))).model
+        loaded = ScoringBundle.load(_saved(spark, sf, name, lambda: model(spark, sf))).model
         frame = TR.param_frame(spark, loaded).select(F.lit(name).alias("model"), "param", "value")
         out = frame if out is None else out.unionByName(frame)
     return out
@@ -167,7 +188,7 @@ def feature_importance(spark, sf):
 
 
 def _scored(spark, sf, name, model, **kw):
-    bundle = ScoringBundle.load(spark, _saved(spark, sf, name, lambda: model(spark, sf)))
+    bundle = ScoringBundle.load(_saved(spark, sf, name, lambda: model(spark, sf)))
     return score(bundle.model, bundle.features(unseen(bind_tables(spark, sf), SCORE_START, SCORE_END)), **kw)
 
 

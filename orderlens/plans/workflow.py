@@ -9,18 +9,17 @@ lost executor re-reads it instead of replaying the whole feature build.
 
 from __future__ import annotations
 
-import importlib
 from dataclasses import dataclass, field
 from typing import Optional
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import MinMaxScaler
+from pyspark.ml.feature import MinMaxScaler, SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import encode, reviews as R
 from orderlens.operators.features import IMPUTE_COLUMNS, WINSOR_COLUMNS, basetable, in_window, order_features
-from orderlens.operators.prep import TEST, TRAIN, VALIDATION, MeanImputer, Prepared, Winsorizer, only, prepare
+from orderlens.operators.prep import TEST, TRAIN, VALIDATION, Prepared, only, prepare
 from orderlens.sources.files import Tables, load_model, materialize, save_model
 
 
@@ -70,7 +69,8 @@ class Workflow:
     # ------------------------------------------------------------ scoring
     def bundle(self, model) -> "ScoringBundle":
         """All that another job needs to score other tables with ``model``."""
-        return ScoringBundle(self.prepared.imputer, self.prepared.winsorizer, self.feature_model, model)
+        preparation = PipelineModel(stages=[SQLTransformer(statement=NO_TYPES), self.prepared.imputer, self.prepared.winsorizer])
+        return ScoringBundle(PipelineModel(stages=[preparation, self.feature_model, model]))
 
 
 def unseen(tables: Tables, start: str, end: str) -> Tables:
@@ -79,43 +79,41 @@ def unseen(tables: Tables, start: str, end: str) -> Tables:
     return Tables(in_window(tables.orders, start, end), tables.items, tables.payments, tables.products)
 
 
+#: An order without payment rows gets an empty type set.
+NO_TYPES = "SELECT * EXCEPT (payment_types), coalesce(payment_types, array()) AS payment_types FROM __THIS__"
+
+
 @dataclass
 class ScoringBundle:
-    """Training means and bounds, the feature pipeline and a classifier: fitted once, saved,
-    and loaded by jobs that score other tables."""
+    """One ``PipelineModel`` of three: preparation (training means and bounds), the feature
+    pipeline and a classifier. Fitted once, saved whole, and loaded by jobs that score other tables."""
+
+    pipeline: PipelineModel
+
+    @property
+    def preparation(self) -> PipelineModel:
+        return self.pipeline.stages[0]
+
+    @property
+    def feature_model(self) -> PipelineModel:
+        return self.pipeline.stages[1]
 
-    imputer: MeanImputer
-    winsorizer: Winsorizer
-    feature_model: PipelineModel
-    model: object
+    @property
+    def model(self):
+        return self.pipeline.stages[2]
 
     def prepare(self, tables: Tables) -> DataFrame:
         """Features of every order of ``tables``, built from these tables alone and filled and
-        clipped with the training fit. An order without payment rows gets an empty type set."""
-        f = order_features(tables)
-        f = f.withColumn("payment_types", F.coalesce(F.col("payment_types"), F.array().cast("array<string>")))
-        return self.winsorizer.transform(self.imputer.transform(f))
+        clipped with the training fit."""
+        return self.preparation.transform(order_features(tables))
 
     def features(self, tables: Tables) -> DataFrame:
         return self.feature_model.transform(self.prepare(tables)).select("order_id", "features")
 
-    def save(self, spark: SparkSession, path: str, overwrite: bool = False) -> str:
-        """Write the bundle as one folder; fails where there is one unless ``overwrite``."""
-        rows = [("mean", c, None if v is None else float(v), None) for c, v in self.imputer.means.items()]
-        rows += [("bounds", c, lo, hi) for c, (lo, hi) in self.winsorizer.bounds.items()]
-        rows.append((type(self.model).__module__ + "." + type(self.model).__name__, None, None, None))
-        frame = spark.createDataFrame(rows, "kind string, column_name string, x double, y double")
-        frame.coalesce(1).write.mode("overwrite" if overwrite else "errorifexists").parquet(f"{path}/parameters")
-        save_model(self.feature_model, f"{path}/features", overwrite)
-        save_model(self.model, f"{path}/model", overwrite)
-        return path
+    def save(self, path: str, overwrite: bool = False) -> str:
+        """Write the bundle as one folder; fails where there is one unless ``overwrite``, which replaces all of it or nothing."""
+        return save_model(self.pipeline, path, overwrite)
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> "ScoringBundle":
-        rows = spark.read.parquet(f"{path}/parameters").collect()  # two rows per column
-        means = {r["column_name"]: r["x"] for r in rows if r["kind"] == "mean"}
-        bounds = {r["column_name"]: (r["x"], r["y"]) for r in rows if r["kind"] == "bounds"}
-        module, _, name = next(r["kind"] for r in rows if r["column_name"] is None).rpartition(".")
-        model_class = getattr(importlib.import_module(module), name)
-        return cls(MeanImputer(list(means), means=means), Winsorizer(list(bounds), bounds=bounds),
-                   load_model(PipelineModel, f"{path}/features"), load_model(model_class, f"{path}/model"))
+    def load(cls, path: str) -> "ScoringBundle":
+        return cls(load_model(PipelineModel, path))

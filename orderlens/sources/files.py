@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, fields
 from typing import Optional
 
@@ -125,14 +126,43 @@ def register_views(tables: Tables, prefix: str = "") -> list[str]:
 
 
 def save_model(model, path: str, overwrite: bool = False) -> str:
-    """Persist an MLlib model; fails when ``path`` exists unless ``overwrite``."""
-    writer = model.write()
-    if overwrite:
-        writer = writer.overwrite()
-    writer.save(path)
+    """Persist an ML model or pipeline; fails when ``path`` exists unless ``overwrite``.
+
+    An overwriting save writes beside ``path`` first and then takes its place by renaming: a
+    save that fails leaves the old model whole, and no reader sees half of each."""
+    if not overwrite:
+        model.write().save(path)
+        return path
+    fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    spark = SparkSession.getActiveSession()
+    try:
+        model.write().save(fresh)
+        _take_place(spark, fresh, path)
+    finally:
+        _file_system(spark, fresh)[0].delete(_file_system(spark, fresh)[1], True)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(the file system that holds ``path``, its path object)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _take_place(spark: SparkSession, fresh: str, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    old = _file_system(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")[1]
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"{path} cannot be replaced")
+    if not fs.rename(_file_system(spark, fresh)[1], target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"{path} cannot be written")
+    if had:
+        fs.delete(old, True)
+
+
 def load_model(model_class, path: str):
     """Reload by concrete class, e.g. ``GBTClassificationModel`` or ``PipelineModel``."""
     return model_class.load(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import metrics, reviews
 from orderlens.operators.features import basetable, in_window, item_aggregates, payment_aggregates, time_features
-from orderlens.operators.prep import MeanImputer, Winsorizer
+from orderlens.operators.prep import MeanImputer, WinsorizerModel
 from orderlens.sources.schemas import ITEMS, ORDERS, PAYMENTS, PRODUCTS, REVIEWS
 
 T0 = dt.datetime(2022, 1, 1, 0, 0, 0)
@@ -79,8 +79,7 @@ def test_int_mean_fill_truncates(spark):
 
 def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(None,), (-5.0,), (0.5,), (9.0,)], "x double")
-    w = Winsorizer(["x"])
-    w.bounds = {"x": (0.0, 1.0)}
+    w = WinsorizerModel({"x": (0.0, 1.0)})
     assert [r.x for r in w.transform(df).collect()] == [None, 0.0, 0.5, 1.0]
 
 
