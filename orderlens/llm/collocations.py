@@ -26,7 +26,9 @@ often as they occur, ids are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,8 @@ PARTITION_MASS = 4_000_000
 MAX_BITS = 1 << 27
 #: Entries of summaries that are gathered before they are merged.
 MERGE_AT = 400_000
+#: Phrase occurrences, and distinct phrases, that a task gathers from its blocks before it sends them.
+HELD_HASHES, HELD_PHRASES = 4_000_000, 400_000
 #: Parts that the ranking of one language is spread over.
 RANK_PARTS = 64
 
@@ -163,20 +167,47 @@ def _levels(lang: str, codes: np.ndarray, words: list[str], bitmaps: list[np.nda
             yield k, at, hashes
 
 
+def _by_hash(hashes: np.ndarray, n_parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(hash partition, places of its hashes) of the partitions that have any."""
+    part = (hashes >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(n_parts + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        yield k, order[edges[k]:edges[k + 1]]
+
+
+def _together(rows: DataFrame, n_parts: int) -> DataFrame:
+    """Rows dealt by (lang, part), to as many tasks as there are hash partitions."""
+    return rows.repartition(max(n_parts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "lang", "part")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[dict]]]:
+    """((lang, part), its rows one by one) of rows that come in the order of these."""
+    rows = (row for batch in batches for i in range(batch.num_rows) for row in batch.slice(i, 1).to_pylist())
+    return groupby(rows, key=lambda row: (row["lang"], row["part"]))
+
+
 def _summaries(cut: DataFrame, bitmaps, size: int, n_parts: int) -> DataFrame:
-    """lang, part, mass, hashes, counts: each block's phrases of ``size`` words, by hash partition."""
+    """lang, part, mass, hashes, counts: phrases of ``size`` words of some blocks, by hash partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [b.value for b in bitmaps]
+        held: dict[str, list[np.ndarray]] = {}
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for lang, found in held.items():
+                hashes, counts = np.unique(np.concatenate(found), return_counts=True)
+                for part, rows in _by_hash(hashes, n_parts):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang]), pa.array([part], pa.int32()), pa.array([int(counts[rows].sum())], pa.int64()),
+                        pa.array([hashes[rows].tobytes()], pa.binary()), pa.array([_pack(counts[rows].astype(np.uint32))], pa.binary())],
+                        names=["lang", "part", "mass", "hashes", "counts"])
+            held.clear()
         for lang, codes, words in _opened(batches):
             *_, (_, _, found) = _levels(lang, codes, words, tables)
-            hashes, counts = np.unique(found, return_counts=True)
-            edges = np.searchsorted((hashes >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32), np.arange(n_parts + 1))
-            for part in np.flatnonzero(np.diff(edges)).tolist():
-                a, b = edges[part], edges[part + 1]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang]), pa.array([part], pa.int32()), pa.array([int(counts[a:b].sum())], pa.int64()),
-                    pa.array([hashes[a:b].tobytes()], pa.binary()), pa.array([_pack(counts[a:b].astype(np.uint32))], pa.binary())],
-                    names=["lang", "part", "mass", "hashes", "counts"])
+            held.setdefault(lang, []).append(found)
+            if sum(len(x) for found in held.values() for x in found) >= HELD_HASHES:
+                yield from packed()
+        yield from packed()
     return cut.select("lang", "words", "codes").mapInArrow(run, "lang string, part int, mass long, hashes binary, counts binary")
 
 
@@ -205,37 +236,25 @@ class Summary:
         return self.hashes[self.counts + self.taken >= min_count]
 
 
-def _survivors(summaries: DataFrame, min_count: int) -> DataFrame:
+def _survivors(summaries: DataFrame, n_parts: int, min_count: int) -> DataFrame:
     """hash of every phrase that may occur ``min_count`` times: a Misra-Gries summary for each hash partition."""
-    by_part = Window.partitionBy("lang", "part")  # brings a partition's summaries together, and their mass before them
-    rows = summaries.withColumn("total", F.sum("mass").over(by_part)).select("lang", "part", "total", "hashes", "counts")
+    by_part = Window.partitionBy("lang", "part")  # a partition's summaries come together, and their mass before them
+    rows = _together(summaries, n_parts).withColumn("total", F.sum("mass").over(by_part)).select("lang", "part", "total", "hashes", "counts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, summary, waiting, size = None, None, [], 0
-
-        def flush():
-            nonlocal waiting, size
-            if waiting:
-                summary.merge(np.concatenate([x for x, _ in waiting]), np.concatenate([x for _, x in waiting]))
-            waiting, size = [], 0
-
-        def result():
-            flush()
-            return pa.RecordBatch.from_arrays([pa.array(summary.survivors(min_count).view(np.int64))], names=["hash"])
-        for batch in batches:
-            for i in range(batch.num_rows):
-                key = (batch.column("lang")[i].as_py(), batch.column("part")[i].as_py())
-                if key != at:
-                    if at is not None:
-                        yield result()
-                    at, summary = key, Summary(batch.column("total")[i].as_py() // min_count + 1)
-                hashes = np.frombuffer(batch.column("hashes")[i].as_py(), np.uint64)
-                waiting.append((hashes, _unpack(batch.column("counts")[i].as_py(), np.uint32).astype(np.int64)))
-                size += len(hashes)
+        for _, rows in _groups(batches):
+            summary, waiting, size = None, [], 0
+            for row in rows:
+                if summary is None:
+                    summary = Summary(row["total"] // min_count + 1)
+                waiting.append((np.frombuffer(row["hashes"], np.uint64), _unpack(row["counts"], np.uint32).astype(np.int64)))
+                size += len(waiting[-1][0])
                 if size >= max(MERGE_AT, summary.capacity):
-                    flush()
-        if at is not None:
-            yield result()
+                    summary.merge(*map(np.concatenate, zip(*waiting)))
+                    waiting, size = [], 0
+            if waiting:
+                summary.merge(*map(np.concatenate, zip(*waiting)))
+            yield pa.RecordBatch.from_arrays([pa.array(summary.survivors(min_count).view(np.int64))], names=["hash"])
     return rows.mapInArrow(run, "hash long")
 
 
@@ -265,22 +284,57 @@ def _word_survivors(words: DataFrame) -> DataFrame:
     return words.select("lang", "phrase").mapInArrow(run, "hash long")
 
 
-def _phrase_counts(cut: DataFrame, bitmaps) -> DataFrame:
-    """lang, phrase, size, f: exact counts of the phrases whose bits are set at every level."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distinct_phrases(codes: np.ndarray, at: np.ndarray, hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word numbers of the distinct phrases at ``at``, how often each occurs)."""
+    phrases = codes[at[:, None] + np.arange(size)]
+    _, first, place, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
+    if (phrases[first][place] == phrases).all():
+        return phrases[first], counts
+    return np.unique(phrases, axis=0, return_counts=True)  # two phrases have one hash
+
+
+def _phrase_counts(cut: DataFrame, bitmaps, n_parts: int, min_count: int) -> DataFrame:
+    """lang, phrase, size, f of the phrases that occur ``min_count`` times, counted by their words.
+
+    Tasks add up the phrases whose bits are set at every level and send them packed to the
+    phrase's hash partition, which holds the survivors' part and those that share their bits."""
+    def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = [b.value for b in bitmaps]
+        held: dict[str, Counter] = {}
+
+        def packed() -> Iterator[pa.RecordBatch]:
+            for lang, counter in held.items():
+                phrases = np.array(list(counter), object)
+                counts = np.fromiter(counter.values(), np.int64, len(phrases))
+                for part, rows in _by_hash(word_hashes(pa.array(phrases, pa.string())), n_parts):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([lang]), pa.array([part], pa.int32()), pa.array([zstandard.compress("\n".join(phrases[rows]).encode(), 1)], pa.binary()),
+                        pa.array([_pack(counts[rows])], pa.binary())], names=["lang", "part", "phrases", "counts"])
+            held.clear()
         for lang, codes, words in _opened(batches):
+            counter = held.setdefault(lang, Counter())
             for size, at, hashes in _levels(lang, codes, words, tables[:-1]):
-                at = at[_held(tables[size - 1], hashes)]
-                if not len(at):
-                    continue
-                phrase = codes[at[:, None] + np.arange(size)]
-                rows, counts = np.unique(phrase, axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * len(rows)), pa.array([" ".join([words[c - 1] for c in r]) for r in rows.tolist()]),
-                    pa.array(np.full(len(rows), size, np.int32)), pa.array(counts)], names=["lang", "phrase", "size", "f"])
-    found = cut.mapInArrow(run, "lang string, phrase string, size int, f long")
-    return found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
+                keep = _held(tables[size - 1], hashes)
+                phrases, counts = _distinct_phrases(codes, at[keep], hashes[keep], size)
+                for phrase, n in zip(phrases.tolist(), counts.tolist()):
+                    counter[" ".join([words[c - 1] for c in phrase])] += n
+            if sum(map(len, held.values())) >= HELD_PHRASES:
+                yield from packed()
+        yield from packed()
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (lang, _), rows in _groups(batches):
+            counter = Counter()
+            for row in rows:
+                for phrase, n in zip(zstandard.decompress(row["phrases"]).decode().split("\n"), _unpack(row["counts"], np.int64).tolist()):
+                    counter[phrase] += n
+            found = [(x, n) for x, n in counter.items() if n >= min_count]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(found), pa.string()), pa.array([x for x, _ in found], pa.string()),
+                pa.array([x.count(" ") + 1 for x, _ in found], pa.int32()), pa.array([n for _, n in found], pa.int64())],
+                names=["lang", "phrase", "size", "f"])
+    sent = cut.select("lang", "words", "codes").mapInArrow(by_part, "lang string, part int, phrases binary, counts binary")
+    return (_together(sent, n_parts).sortWithinPartitions("lang", "part").mapInArrow(total, "lang string, phrase string, size int, f long"))
 
 
 def _part(first, last):
@@ -334,9 +388,9 @@ def mine(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS
     words = materialize(word_counts(cut).where(F.col("f") >= min_count), "phrase-words")
     bitmaps = [_bitmap(materialize(_word_survivors(words), "phrase-survivors"))]
     for size in range(2, max_words + 1):
-        survivors = _survivors(_summaries(cut, bitmaps, size, n_parts), min_count)
+        survivors = _survivors(_summaries(cut, bitmaps, size, n_parts), n_parts, min_count)
         bitmaps.append(_bitmap(materialize(survivors, "phrase-survivors")))
-    candidates = materialize(_phrase_counts(cut, bitmaps).where(F.col("f") >= min_count), "phrase-candidates")
+    candidates = materialize(_phrase_counts(cut, bitmaps, n_parts, min_count), "phrase-candidates")
     out = scored(candidates, words, totals)
     inside = absorbed(candidates).withColumnRenamed("f", "a")
     return ranked(out.join(inside, ["lang", "phrase", "a"], "left_anti"), top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

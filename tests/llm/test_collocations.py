@@ -59,6 +59,8 @@ def test_small_blocks_and_partitions_find_the_same(texts, monkeypatch):
     docs, rows = texts
     monkeypatch.setattr(collocations, "PARTITION_MASS", 500)
     monkeypatch.setattr(collocations, "MERGE_AT", 10)
+    monkeypatch.setattr(collocations, "HELD_HASHES", 50)
+    monkeypatch.setattr(collocations, "HELD_PHRASES", 20)
     monkeypatch.setattr(collocations, "MAX_BITS", 1 << 10)  # a full bitmap lets everything through
     assert rows_of(collocations.mine(docs, 4)) == brute(rows, 4)
 
