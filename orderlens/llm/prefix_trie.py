@@ -44,6 +44,8 @@ from orderlens.sources.files import materialize
 
 LIMIT = 4096
 SHARD_NODES = 50_000
+#: Large prefixes (24 bytes each) that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
 #: Ids that are joined to one chunk of text.
 CHUNK = 4096
 #: Places of a level of the hash for each key that is left.
@@ -95,6 +97,9 @@ def nodes(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     """A row for each distinct prefix, with its tier, the top (r1, r2) of its component, and
     for a top node the tier and top of its parent's component (up_tier, u1, u2)."""
     large = rows.groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > limit)
+    large = materialize(large, "trie-large")
+    if large.count() <= BROADCAST_ROWS:  # else both sides shuffle, and a prefix of many members is split as skewed
+        large = F.broadcast(large)
     tier = F.coalesce(F.floor(F.log("members") / F.log(F.lit(float(limit)))).cast("int"), F.lit(0))
     along = Window.partitionBy("conv_id").orderBy("depth")
     tiered = rows.join(large, ["p1", "p2"], "left").withColumn("tier", tier).withColumn("up_tier", F.lag("tier").over(along))
