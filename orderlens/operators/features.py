@@ -174,19 +174,22 @@ def in_window(orders: DataFrame, start: Optional[str], end: Optional[str],
 
 def order_features(tables: Tables, start: Optional[str] = None, end: Optional[str] = None,
                    end_inclusive_day: bool = False, customer_as_of_window: bool = False,
-                   per_order_customer: bool = False) -> DataFrame:
+                   per_order_customer: bool = False, write_payments: bool = True) -> DataFrame:
     """The independent-variable table: one row per order in the purchase window (B23).
 
     Customer features use every order unless ``customer_as_of_window`` limits them to the
     window (the studied workflow uses all orders, including later ones). The payments of an
-    order, which the order and its customer both need, are aggregated and written once.
+    order, which the order and its customer both need, are aggregated and written once (``write_payments``);
+    tables in buckets of the order id do without that, as their aggregates need no shuffle.
     """
     windowed = in_window(tables.orders, start, end, end_inclusive_day)
     timed = time_features(windowed).select(
         "order_id", "customer_id", "order_status", "order_processing_time", "delivery_speed_days",
         "delivery_accuracy_days", "order_month", "order_quarter")
     items = item_aggregates(tables.items, tables.products)
-    pays = materialize(payment_aggregates(tables.payments), "order-payments")
+    pays = payment_aggregates(tables.payments)
+    if write_payments:
+        pays = materialize(pays, "order-payments")
     cust_orders = windowed if customer_as_of_window else tables.orders
     cust = customer_value(cust_orders, pays, per_order=per_order_customer)
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from typing import Optional, Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.columns import safe_ratio
@@ -116,6 +116,22 @@ def feature_importance(spark, scores: Sequence[float], names: Sequence[tuple[int
     return df.orderBy(F.col("score").desc(), F.col("feature")).limit(top)
 
 
+def node_importances(nodes: DataFrame, per_tree: bool = False, gini: bool = False) -> DataFrame:
+    """(slot, score) from the node table of a saved tree ensemble: each split's gain times the weight
+    of the rows it saw, summed per slot, in all 1. ``per_tree`` weighs trees alike (forests do,
+    boosted trees do not); the rows' weight is the first impurity statistic of a regression tree
+    and the sum of them where they are counts per class (``gini``)."""
+    node = nodes.select(F.col("treeID").alias("tree"), "nodeData.*").where(F.col("split.featureIndex") >= 0)
+    weight = F.aggregate("impurityStats", F.lit(0.0), lambda a, x: a + x) if gini else F.get("impurityStats", F.lit(0))
+    gains = node.groupBy("tree", F.col("split.featureIndex").alias("slot")).agg(F.sum(F.col("gain") * weight).alias("gain"))
+    if per_tree:
+        whole = gains.groupBy("tree").agg(F.sum("gain").alias("whole"))
+        gains = gains.join(whole, "tree").withColumn("gain", safe_ratio(F.col("gain"), F.col("whole")))
+    slots = gains.groupBy("slot").agg(F.sum("gain").alias("gain"))
+    every = Window.partitionBy(F.lit(0))  # over a row per slot of the model
+    return slots.select("slot", safe_ratio(F.col("gain"), F.sum("gain").over(every)).alias("score"))
+
+
 def multiclass_coef_importance(coef_matrix, mode: str = "abs_of_mean"):
     """Per-slot importance of a multinomial LR: |mean over classes of coef| (the studied
     workflow; opposite signs cancel) or mean over classes of |coef|."""

