@@ -56,8 +56,21 @@ def weighted_rf(params, features="features"):
     return rf(params, features).setWeightCol(WEIGHT)
 
 
+class PlainLogisticRegression(LogisticRegression):
+    """Logistic regression whose model keeps no training summary.
+
+    A binary summary holds the session, which scoring then ships to the tasks with the model; once
+    the session has seen an ``Observation`` it cannot be serialised, and scoring with the fitted
+    model would fail. The summary repeats measures that are taken here anyway."""
+
+    def _fit(self, dataset: DataFrame):
+        model = super()._fit(dataset)
+        model._java_obj.setSummary(dataset.sparkSession._jvm.scala.Option.empty())
+        return model
+
+
 def lr(params, features="features"):
-    return LogisticRegression(featuresCol=features, labelCol="label", **params)
+    return PlainLogisticRegression(featuresCol=features, labelCol="label", **params)
 
 
 def gbt(params, features="features"):

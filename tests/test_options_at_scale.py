@@ -3,7 +3,7 @@
 import duckdb
 import numpy as np
 import pytest
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -95,7 +95,7 @@ def test_importances_from_saved_nodes(spark, points, tmp_path, kind):
 @pytest.mark.parametrize("classes", [2, 5])
 def test_linear_scoring_equals_the_model(spark, workflow, classes):
     train = workflow.split(TRAIN) if classes == 2 else workflow.multiclass(TRAIN)
-    model = LogisticRegression(maxIter=8, regParam=0.01).fit(train)
+    model = TR.lr({"maxIter": 8, "regParam": 0.01}).fit(train)
     rows = workflow.prepared.data.selectExpr("* except (order_status)", "if(order_id % 5 = 0, 'new', order_status) as order_status")
     ours = score_linear(model, slot_columns(workflow.feature_model), rows, ["order_id", "review_score"])
     theirs = score(model, workflow.feature_model.transform(rows), ["order_id", "review_score"], with_probability=classes == 2)
@@ -119,3 +119,11 @@ def test_the_first_of_equal_points_wins(points):
     assert seen.params == {"maxIter": 5} and [p for p, _ in seen.trials] == grid
     undefined = TR.select_best(TR.lr, grid[:2], points, points, lambda model, df: None)
     assert undefined.model is None
+
+
+def test_a_fitted_binary_model_scores_after_an_observation(spark, points):
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    assert spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).count() == 5 and seen.get["n"] == 5
+    model = TR.lr({"maxIter": 5}).fit(points)
+    assert not model.hasSummary and TR.binary_auc(model, points) > 0.5
