@@ -16,7 +16,7 @@ from orderlens.operators.score import merge_predictions, score
 from orderlens.plans.catalog import scoring_columns
 from orderlens.plans.params import DECIMALS, SCORE_END, SCORE_START, W_END, W_START
 from orderlens.session import scratch_path
-from orderlens.sources.binding import bind_tables
+from orderlens.sources.binding import bind_tables, listing
 from orderlens.sources.files import materialize, read_csv, save_model, write_csv
 from orderlens.plans.workflow import ScoringBundle, Workflow, unseen
 
@@ -25,11 +25,17 @@ _MADE: dict = {}
 
 
 def _once(spark, sf, name, make):
-    """What the queries of one session share for one input: prepared tables, chosen models, saved bundles."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"), name)
-    if key not in _MADE:
-        _MADE[key] = make()
-    return _MADE[key]
+    """What the queries of one session share for one input, while its files stay the same: prepared
+    tables, chosen models, saved bundles."""
+    key, files = (spark.sparkContext.applicationId, sf.rstrip("/"), name), listing(spark, sf, "orders", "lineitem", "part")
+    if key not in _MADE or _MADE[key][0] != files:
+        _MADE[key] = (files, make())
+    return _MADE[key][1]
+
+
+def forget() -> None:
+    """Drop all that is shared, so that the next query starts from its tables."""
+    _MADE.clear()
 
 
 def _wf(spark, sf) -> Workflow:

@@ -16,13 +16,24 @@ from orderlens.sources.files import Tables
 _TABLES: dict = {}
 
 
+def listing(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """(file, bytes, time of change) of the tables' files: what is remembered for an input goes with it."""
+    out = []
+    for name in names:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+        out += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    return tuple(out)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy scan of one test table. The handle (schema and file listing, no data) is
-    reused within a session, so composing many queries does not re-read footers."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return _TABLES[key]
+    reused within a session while the files are the same, so composing many queries does not
+    re-read footers."""
+    key, files = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name), listing(spark, sf_dir, name)
+    if key not in _TABLES or _TABLES[key][0] != files:
+        _TABLES[key] = (files, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return _TABLES[key][1]
 
 
 def _null_when(cond: Column, value: Column) -> Column:

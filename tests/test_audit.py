@@ -58,3 +58,16 @@ def test_items_without_an_order_and_shared_products(spark):
     assert (row["order_id"], row["total_item_price"], row["order_price"], row["order_diversity"]) == (1, 7.0, 10.0, 2)
     assert (row["n_product_items"], row["total_product_category"], row["order_volume_cm3"]) == (3, 2, 13)
     assert row["avg_prod_name_lenght"] == pytest.approx(2.5) and row["avg_prod_description_lenght"] == pytest.approx(6.0)
+
+
+def test_rewritten_inputs_are_read_again(spark, tmp_path):
+    from orderlens.plans.modelling import _once
+    from orderlens.sources.binding import bind_orders
+    for name in ("orders", "lineitem", "part"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(20).write.parquet(str(tmp_path / f"{name}.parquet"))
+    made = []
+    def once():
+        return _once(spark, str(tmp_path), "test", lambda: made.append(1) or len(made))
+    assert (once(), once(), bind_orders(spark, str(tmp_path)).count()) == (1, 1, 20)
+    spark.read.parquet(f"{SF}/orders.parquet").limit(7).write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    assert (once(), bind_orders(spark, str(tmp_path)).count()) == (2, 7)
