@@ -1,21 +1,27 @@
 """Cross-entropy difference of two matched n-gram models.
 
 A target model is counted on the documents labelled good (quality 1, toxic 0), a background
-model on all documents. They share one vocabulary (the ``VOCABULARY`` most frequent words
-of the whole corpus, all other words one unknown word), one order, one smoothing and one mass: background counts are scaled to the target's number of words. A bigram backs off to
-its unigram, and that to an even chance. A document's score is the mean over its words of
-background loss less target loss: above 0, it reads more like the target. A document that
-was counted is taken out of the counts while it is scored, so that no document is compared
-with itself.
-
-All documents are counted in Spark. Words and bigrams are summed in each task first;
-bigrams of vocabulary words are counted in ``PAIRS`` hashed cells, so that the models that
-go to the tasks are of fixed size however much they were counted on.
+model on all documents. They share one vocabulary (every word that occurs ``MIN_COUNT`` times
+in the corpus; all others are one unknown word), one order, one smoothing and one mass:
+background counts are scaled to the target's number of words. A bigram backs off to its
+unigram, and that to an even chance. A document's score is the mean over its words of
+background loss less target loss: above 0, it reads more like the target. A document that was
+counted is taken out of the counts while it is scored, so that no document is compared with
+itself.
+
+Nothing is capped and no model is held anywhere whole. Documents are cut once into blocks of
+bounded text size, kept in buckets of their number, so that what comes back to a block finds it
+without moving it. A block sends its distinct words with their counts, packed by hash
+partition; a partition (about ``PARTITION_KEYS`` entries) adds up what all blocks sent and
+answers each block in the order of its own keys. Then the same for bigrams of vocabulary words.
+Keys are 64-bit hashes; a frequent key is one entry of each block. With the answers a block
+scores its documents.
 
 Defined cases: null and empty texts score 0 with no words; null ids and null labels are in
 the background only; repeated rows count as often as they occur, each leaving out itself
-alone; without labelled documents both models are the same and all
-scores are 0; an empty table gives an empty result; other columns are not read.
+alone; rows whose ``counted`` is false give no counts and are scored like new documents;
+without labelled documents both models are the same and all scores are 0; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,128 +30,180 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderlens.llm.common import append_columns, mix64, row_numbers, row_sums, slices, split_words, texts_of, word_hashes
-from orderlens.llm.toxicity import bitmap_of, known, normal_words
+from orderlens.llm.common import mix64, row_numbers, row_sums, slices, split_words, texts_of, word_hashes
+from orderlens.llm.toxicity import normal_words
+from orderlens.sources.bucketed import bucketed
 from orderlens.sources.files import materialize
 
-VOCABULARY = 50_000
 MIN_COUNT = 4
-PAIRS = 1 << 20
 BACKOFF = 100.0
 UNIGRAM_BACKOFF = 100.0
+BLOCK_BYTES = 8 << 20
+#: Entries of a hash partition, about.
+PARTITION_KEYS = 1_000_000
 #: Ids of target documents that are broadcast at most (8 bytes each); above, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 U64 = np.uint64
+START, UNKNOWN = U64(1), U64(2)
+_STEP = U64(0x9E3779B97F4A7C15)
+_SENT = "block long, part int, keys binary, counts binary"
+_ANSWER = "block long, part int, sums binary, summary array<long>"
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (hash), n: how often each normal word occurs in all documents."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                _, codes, words = split_words(texts_of(part))
-                if len(words):
-                    hashed, where = np.unique(word_hashes(normal_words(words)), return_inverse=True)
-                    n = np.bincount(where, np.bincount(codes, minlength=len(words)))
-                    yield pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(n.astype(np.int64))], names=["word", "n"])
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def _pack(values: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, compressed."""
+    wide = np.ascontiguousarray(values)
+    return zstandard.compress(wide.view(np.uint8).reshape(-1, wide.dtype.itemsize).T.tobytes(), 3)
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> np.ndarray:
-    """Sorted hashes of the most frequent words (ties to the smaller hash) that occur ``MIN_COUNT`` times."""
-    top = word_counts(docs).where(F.col("n") >= MIN_COUNT).orderBy(F.col("n").desc(), "word").limit(size).select("word").toArrow().to_pandas()
-    return np.sort(top["word"].to_numpy(np.int64).view(U64))
+def _unpack(blob: bytes, dtype) -> np.ndarray:
+    raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
-def word_ids(texts: pa.Array, words: np.ndarray, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row offsets, vocabulary number of each word, the vocabulary's size where unknown)."""
-    offsets, codes, distinct = split_words(texts)
-    number = np.full(len(distinct), len(words), np.int64)
-    if len(distinct):
-        at, place = known(words, bitmap, word_hashes(normal_words(distinct)))
-        number[at] = place
-    return offsets, number[codes] if len(codes) else codes
+def _sums(places: np.ndarray, size: int, weights: list[np.ndarray]) -> np.ndarray:
+    """One row per weight: its sum at each place."""
+    return np.stack([np.bincount(places, w, minlength=size) for w in weights]).astype(np.int64)
+
+
+@dataclass
+class Block:
+    """Documents by numbered words: the words' keys ascending, and in which model's counts each document is."""
 
+    lengths: np.ndarray
+    codes: np.ndarray
+    keys: np.ndarray
+    inside: np.ndarray     # rows 0 (background) and 1 (target)
 
-def histories(ids: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
-    """The word before each word, ``size + 1`` at the start of a text."""
-    before = np.concatenate(([size + 1], ids[:-1])) if len(ids) else ids
-    before[offsets[:-1][np.diff(offsets) > 0]] = size + 1
-    return before
+    def __post_init__(self):
+        self.offsets = np.concatenate(([0], np.cumsum(self.lengths)))
+        self.rows = row_numbers(self.offsets)
+        self.first = np.zeros(len(self.codes), bool)
+        self.first[self.offsets[:-1][self.lengths > 0]] = True
 
+    def word_counts(self) -> np.ndarray:
+        """Per word: occurrences in both models, and those that another word follows."""
+        weights = [x[self.rows].astype(float) for x in self.inside]
+        followed = ~np.append(self.first[1:], True) if len(self.codes) else self.first
+        return _sums(self.codes, len(self.keys), [*weights, *[w * followed for w in weights]])
 
-def pair_cells(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return (mix64((before.astype(U64) << U64(32)) | ids.astype(U64)) % U64(PAIRS)).astype(np.int64)
+    def bigrams(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct bigram keys ascending, the place of each word's bigram among them)."""
+        word = np.where(known, self.keys, UNKNOWN)[self.codes]
+        before = np.where(self.first, START, np.concatenate((word[:1], word[:-1])))
+        with np.errstate(over="ignore"):
+            return np.unique(mix64(before * _STEP + word), return_inverse=True)
 
+    def pair_counts(self, places: np.ndarray, size: int) -> np.ndarray:
+        return _sums(places, size, [x[self.rows].astype(float) for x in self.inside])
 
-def ngram_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
-    """kind (0: word, 1: history, 2: bigram cell), cell, background, target of ``docs`` (text, in_target)."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+def _opened(row) -> Block:
+    return Block(_unpack(row.lengths, np.uint32).astype(np.int64), _unpack(row.codes, np.uint32).astype(np.int64), _unpack(row.keys, np.uint64),
+                 _unpack(row.inside, np.uint8).reshape(2, -1).astype(bool))
+
+
+def blocks(marked: DataFrame) -> DataFrame:
+    """block, doc_ids, lengths, codes, keys, inside of all documents, in buckets of the block."""
+    schema = T.StructType([T.StructField("doc_ids", T.ArrayType(marked.schema["doc_id"].dataType)),
+                           *[T.StructField(c, T.BinaryType()) for c in ("lengths", "codes", "keys", "inside")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = shared.value
-        bitmap, size = bitmap_of(vocab), len(vocab)
-        totals = [np.zeros((2, n), np.int64) for n in (size + 1, size + 2, PAIRS)]
         for batch in batches:
-            for part in slices(batch):
-                offsets, ids = word_ids(texts_of(part), vocab, bitmap)
-                before = histories(ids, offsets, size)
-                target = part.column("in_target").to_numpy(zero_copy_only=False).astype(bool)[row_numbers(offsets)]
-                for total, cells in zip(totals, (ids, before, pair_cells(before, ids))):
-                    total[0] += np.bincount(cells, minlength=total.shape[1])
-                    total[1] += np.bincount(cells[target], minlength=total.shape[1])
-        for kind, total in enumerate(totals):
-            cells = np.flatnonzero(total[0])
-            for a in range(0, len(cells), 100_000):
-                at = cells[a:a + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), kind, np.int32)), pa.array(at.astype(np.int32)),
-                                                  pa.array(total[0][at]), pa.array(total[1][at])], names=["kind", "cell", "background", "target"])
-    return (docs.select("text", "in_target").mapInArrow(run, "kind int, cell int, background long, target long")
-            .groupBy("kind", "cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target")))
-
-
-def _own(cells: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """For each word how often its cell occurs in its row."""
-    _, where, n = np.unique(rows * size + cells, return_inverse=True, return_counts=True)
-    return n[where]
+            for part in slices(batch, limit=BLOCK_BYTES):
+                offsets, codes, words = split_words(texts_of(part))
+                keys, number = np.unique(word_hashes(normal_words(words)) if len(words) else np.zeros(0, U64), return_inverse=True)
+                counted, target = (part.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("counted", "in_target"))
+                values = [_pack(np.diff(offsets).astype(np.uint32)), _pack((number[codes] if len(codes) else codes).astype(np.uint32)), _pack(keys),
+                          _pack(np.concatenate((counted, counted & target)).astype(np.uint8))]
+                yield pa.RecordBatch.from_arrays([pa.array([part.column("doc_id").to_pylist()], pa.list_(part.column("doc_id").type)),
+                                                  *[pa.array([v], pa.binary()) for v in values]], names=schema.names)
+    cut = marked.select("doc_id", "text", "in_target", "counted").mapInArrow(run, schema)
+    n = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed(cut.withColumn("block", F.monotonically_increasing_id()).repartition(n, "block"), "block", n, "lm_blocks")
+
+
+def _sent(block: int, keys: np.ndarray, counts: np.ndarray, n_parts: int) -> list[tuple]:
+    """A block's keys and counts by hash partition; ascending keys make ascending partitions."""
+    edges = np.searchsorted((keys >> U64(32)) * U64(n_parts) >> U64(32), np.arange(n_parts + 1))
+    return [(block, p, _pack(keys[edges[p]:edges[p + 1]]), _pack(counts[:, edges[p]:edges[p + 1]].astype(np.uint32).ravel()))
+            for p in np.flatnonzero(np.diff(edges)).tolist()]
+
+
+def _answered(sent: DataFrame, columns: int, least: int) -> DataFrame:
+    """block, part, sums: the corpus' sums of each block's keys in their order, written. The first row
+    of a partition has its ``summary``: keys whose first sum is ``least`` or more, the sums of
+    the others, and the sums of all."""
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        lists = [_unpack(x, np.uint64) for x in rows["keys"]]
+        counts = np.concatenate([_unpack(x, np.uint32).reshape(columns, -1) for x in rows["counts"]], axis=1)
+        keys, place = np.unique(np.concatenate(lists), return_inverse=True)
+        sums = _sums(place, len(keys), list(counts))
+        rare = sums[0] < least
+        summary = [int((~rare).sum()), *sums[:, rare].sum(axis=1).tolist(), *sums.sum(axis=1).tolist()]
+        ends = np.cumsum([len(x) for x in lists])
+        back = [_pack(sums[:, place[e - len(x):e]].ravel()) for x, e in zip(lists, ends)]
+        return pd.DataFrame({"block": rows["block"], "part": rows["part"], "sums": back, "summary": [summary, *[None] * (len(rows) - 1)]})
+    return materialize(sent.groupBy("part").applyInPandas(run, _ANSWER), "lm-answers")
+
+
+def _sums_of(answers: pd.DataFrame, columns: int) -> np.ndarray:
+    """The block's sums, of all partitions, in the order of its keys."""
+    parts = [_unpack(x, np.int64).reshape(columns, -1) for x in answers.sort_values("part")["sums"]]
+    return np.concatenate(parts, axis=1) if parts else np.zeros((columns, 0), np.int64)
 
 
 @dataclass
-class Models:
-    """Matched counts of both models: rows 0 (background) and 1 (target)."""
-
-    words: np.ndarray
-    unigram: np.ndarray
-    history: np.ndarray
-    pairs: np.ndarray
-    scale: tuple[float, float]   # what one occurrence counts
-    same: bool = False           # no target: the background stands for it
-
-    def losses(self, texts: pa.Array, counted: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per text: (background loss, target loss, words), losses summed in nats.
-
-        ``counted`` says for each model which texts are in its counts.
-        """
-        if not hasattr(self, "_bitmap"):
-            self._bitmap = bitmap_of(self.words)
-        size = len(self.words)
-        offsets, ids = word_ids(texts, self.words, self._bitmap)
-        before, rows = histories(ids, offsets, size), row_numbers(offsets)
-        cells = pair_cells(before, ids)
-        own = [_own(ids, rows, size + 1), _own(before, rows, size + 2), _own(cells, rows, PAIRS)]
-        n, loss = np.diff(offsets), []
-        for m in (0, 1):
-            out = np.where(counted[0 if self.same else m], self.scale[m], 0.0)
-            unigram, history, pair = (np.maximum(table[m][at] - out[rows] * x, 0) for table, at, x in zip((self.unigram, self.history, self.pairs), (ids, before, cells), own))
-            mass = np.maximum(self.unigram[m].sum() - out * n, 0)[rows]
-            unigram = (unigram + UNIGRAM_BACKOFF / (size + 1)) / (mass + UNIGRAM_BACKOFF)
-            loss.append(row_sums(-np.log((pair + BACKOFF * unigram) / (history + BACKOFF)), offsets))
-        return loss[0], loss[1], n
+class Corpus:
+    """What all blocks need of the whole corpus: the vocabulary's size, and per model (background,
+    target) the unknown word's occurrences, those that a word follows, and all words and starts."""
+
+    size: int
+    unknown: tuple
+    unknown_followed: tuple
+    words: tuple
+    starts: tuple
+
+    @classmethod
+    def of(cls, summary: list[int]) -> "Corpus":
+        size, rare, every = summary[0], summary[1:5], summary[5:9]
+        return cls(size, tuple(rare[:2]), tuple(rare[2:]), tuple(every[:2]), (every[0] - every[2], every[1] - every[3]))
+
+
+def _own(places: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """For each word how often its place occurs in its row."""
+    _, where, n = np.unique(rows * size + places, return_inverse=True, return_counts=True)
+    return n[where]
+
+
+def losses(block: Block, words: np.ndarray, pairs: np.ndarray, corpus: Corpus) -> list[np.ndarray]:
+    """Per model (background, target) the loss of each document, in nats. ``words`` and ``pairs``
+    are the corpus' sums of the block's words and bigrams."""
+    known = words[0] >= MIN_COUNT if len(block.keys) else np.zeros(0, bool)
+    number = np.where(known, np.arange(len(known)), len(known))  # one number for all unknown words
+    word = number[block.codes] if len(block.codes) else block.codes
+    before = np.where(block.first, len(known) + 1, np.concatenate((word[:1], word[:-1])))
+    _, place = block.bigrams(known)
+    own = [_own(x, block.rows, len(known) + 2) for x in (word, before)] + [_own(place, block.rows, pairs.shape[1])]
+    same, out = not corpus.words[1], []
+    for m in (0, 1):
+        k = 0 if same else m
+        scale = 1.0 if same or k else corpus.words[1] / corpus.words[0]
+        inside = block.inside[k][block.rows]
+        unigram = np.append(words[k], corpus.unknown[k])[word]
+        history = np.concatenate((words[2 + k], [corpus.unknown_followed[k], corpus.starts[k]]))[before]
+        unigram, history, pair = (np.maximum(scale * (x - inside * o), 0) for x, o in zip((unigram, history, pairs[k][place]), own))
+        mass = np.maximum(scale * (corpus.words[k] - inside * block.lengths[block.rows]), 0)
+        unigram = (unigram + UNIGRAM_BACKOFF / (corpus.size + 1)) / (mass + UNIGRAM_BACKOFF)
+        out.append(row_sums(-np.log((pair + BACKOFF * unigram) / (history + BACKOFF)), block.offsets))
+    return out
 
 
 def with_target(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -157,54 +215,53 @@ def with_target(docs: DataFrame, marks: DataFrame) -> DataFrame:
     return joined.withColumn("in_target", F.coalesce("in_target", F.lit(False)))
 
 
-def train(marked: DataFrame, vocabulary_size: int = VOCABULARY) -> Models:
-    """Count both models over all documents (text, in_target)."""
-    words = vocabulary(marked, vocabulary_size)
-    size = len(words)
-    lengths = (size + 1, size + 2, PAIRS)
-    # A row per cell at most, as three narrow columns.
-    counts = ngram_counts(marked, words).select("kind", "cell", F.col("background").cast("float"), F.col("target").cast("float")).toArrow()
-    kind, cell, background, target = (counts.column(i).to_numpy() for i in range(4))
-    tables = []
-    for k, n in enumerate(lengths):
-        table, at = np.zeros((2, n), np.float32), kind == k
-        table[0, cell[at]], table[1, cell[at]] = background[at], target[at]
-        tables.append(table)
-    total = tables[0].sum(axis=1, dtype=np.float64)
-    if not total[1]:
-        for table in tables:
-            table[1] = table[0]
-        return Models(words, *tables, (1.0, 1.0), same=True)
-    scale = float(total[1] / total[0])
-    for table in tables:
-        table[0] *= scale
-    return Models(words, *tables, (scale, 1.0))
-
-
-def score_documents(marked: DataFrame, models: Models, counted: bool = True) -> DataFrame:
+def score_documents(marked: DataFrame) -> DataFrame:
     """doc_id, n_words, background_loss, target_loss (per word), score of every document.
 
-    ``marked`` has doc_id, text and in_target; ``counted`` says whether these documents are
-    in the models' counts (as by ``train`` on them) or new ones.
+    ``marked`` has doc_id, text and in_target, and may have ``counted``: false for documents that
+    are to be scored without being counted.
     """
-    shared = marked.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch):
-                target = part.column("in_target").to_numpy(zero_copy_only=False).astype(bool)
-                inside = (np.full(len(target), counted), target & counted)
-                background, wanted, n = shared.value.losses(texts_of(part), inside)
-                per = np.maximum(n, 1)
-                yield append_columns(part.select(["doc_id"]), n_words=n.astype(np.int64), background_loss=background / per,
-                                     target_loss=wanted / per, score=(background - wanted) / per)
-    rows = marked.select("doc_id", "text", "in_target")
-    schema = T.StructType([rows.schema["doc_id"], T.StructField("n_words", T.LongType()),
+    if "counted" not in marked.columns:
+        marked = marked.withColumn("counted", F.lit(True))
+    cut = blocks(marked)
+    entries = cut.agg(F.coalesce(F.sum(F.octet_length("codes")), F.lit(0))).first()[0]  # about a byte and a half for each word
+    n_parts = max(1, -(-entries // PARTITION_KEYS))
+
+    def words_sent(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            for row in frame.itertuples(index=False):
+                block = _opened(row)
+                yield pd.DataFrame(_sent(row.block, block.keys, block.word_counts(), n_parts), columns=["block", "part", "keys", "counts"])
+    word_sums = _answered(cut.drop("doc_ids").mapInPandas(words_sent, _SENT), 4, MIN_COUNT)
+    summary = word_sums.where("summary is not null").agg(*[F.coalesce(F.sum(F.get("summary", F.lit(i))), F.lit(0)) for i in range(9)]).first()
+    corpus = Corpus.of(list(summary))
+
+    def pairs_sent(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in own.itertuples(index=False):
+            block = _opened(row)
+            if len(block.keys):
+                keys, place = block.bigrams(_sums_of(answers, 4)[0] >= MIN_COUNT)
+                out += _sent(row.block, keys, block.pair_counts(place, len(keys)), n_parts)
+        return pd.DataFrame(out, columns=["block", "part", "keys", "counts"])
+    sent = cut.drop("doc_ids").groupBy("block").cogroup(word_sums.groupBy("block")).applyInPandas(pairs_sent, _SENT)
+    pair_sums = _answered(sent, 2, 1)
+    schema = T.StructType([marked.schema["doc_id"], T.StructField("n_words", T.LongType()),
                            *[T.StructField(x, T.DoubleType()) for x in ("background_loss", "target_loss", "score")]])
-    return rows.mapInArrow(run, schema)
+
+    def scored(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for row in own.itertuples(index=False):
+            block = _opened(row)
+            background, target = losses(block, _sums_of(answers[answers["kind"] == 0], 4), _sums_of(answers[answers["kind"] == 1], 2), corpus)
+            per = np.maximum(block.lengths, 1)
+            out.append(pd.DataFrame({"doc_id": pd.Series(list(row.doc_ids), dtype=object), "n_words": block.lengths, "background_loss": background / per,
+                                     "target_loss": target / per, "score": (background - target) / per}))
+        return pd.concat(out) if out else pd.DataFrame(columns=schema.names)
+    answers = word_sums.select("block", F.lit(0).alias("kind"), "part", "sums").unionByName(pair_sums.select("block", F.lit(1).alias("kind"), "part", "sums"))
+    return cut.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(scored, schema)
 
 
 def op7_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     from orderlens.llm.common import documents, labels
-    marked = with_target(documents(spark, sf_dir), labels(spark, sf_dir))
-    return score_documents(marked, train(marked))
+    return score_documents(with_target(documents(spark, sf_dir), labels(spark, sf_dir)))

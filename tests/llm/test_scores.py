@@ -1,3 +1,4 @@
+import collections
 import itertools
 import zlib
 
@@ -7,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.llm import lm_score, quality_crf, toxicity
-from orderlens.llm.common import word_hashes
 from tests.conftest import SF
 from tests.llm.brute import WORD, auc
 
@@ -81,54 +81,73 @@ def test_a_rare_word_tells_less_than_a_frequent_one():
     assert ratio(200, 0) > ratio(30, 0) > 0.5 and ratio(10, 20) == pytest.approx(0)
 
 
-def test_losses_by_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
-    marks = spark.read.parquet(f"{SF}/labels.parquet")
-    marked = lm_score.with_target(docs, marks).cache()
-    models = lm_score.train(marked, 500)
-    rows = {r["doc_id"]: r for r in lm_score.score_documents(marked, models).collect()}
-    texts = marked.collect()
-    size, vocab = len(models.words), models.words
-
-    def ids(text):
-        words = toxicity.normal_words(pa.array(WORD.findall(text or ""), pa.string()))
-        at = [int(np.searchsorted(vocab, h)) for h in word_hashes(words)] if len(words) else []
-        return [i if i < size and vocab[i] == h else size for i, h in zip(at, word_hashes(words))] if len(words) else []
-    numbered = {r["doc_id"]: (ids(r["text"]), r["in_target"]) for r in texts}
-
-    def cell(v, w):
-        return int(lm_score.pair_cells(np.array([v]), np.array([w]))[0])
+def brute_losses(texts, scored):
+    """{row: (background loss, target loss) per word} of ``texts`` (text, in_target, counted), by dictionaries of words and pairs."""
+    split = [[w.as_py() for w in toxicity.normal_words(pa.array(WORD.findall(text or ""), pa.string()))] for text, _, _ in texts]
+    often = collections.Counter(w for words, (_, _, counted) in zip(split, texts) if counted for w in words)
+    numbered = [[w if often[w] >= lm_score.MIN_COUNT else "<unknown>" for w in words] for words in split]
+    size = sum(n >= lm_score.MIN_COUNT for n in often.values())
 
     def counts(skip, only_target):
-        one, history, pair = {}, {}, {}
-        for doc, (words, target) in numbered.items():
-            if doc != skip and (target or not only_target):
-                for v, w in zip([size + 1, *words], words):
-                    c = cell(v, w)
-                    one[w], history[v], pair[c] = one.get(w, 0) + 1, history.get(v, 0) + 1, pair.get(c, 0) + 1
+        one, history, pair = collections.Counter(), collections.Counter(), collections.Counter()
+        for i, words in enumerate(numbered):
+            if i != skip and texts[i][2] and (texts[i][1] or not only_target):
+                before = ["<start>", *words][:len(words)]
+                one.update(words)
+                history.update(before)
+                pair.update(zip(before, words))
         return one, history, pair
     tokens = [sum(counts(None, t)[0].values()) for t in (False, True)]
-    for doc in list(numbered)[:6]:
-        words = numbered[doc][0]
-        for m, name in ((0, "background_loss"), (1, "target_loss")):
-            one, history, pair = counts(doc, m == 1)
+    out = {}
+    for i in scored:
+        words, losses = numbered[i], []
+        for m in (0, 1):
+            one, history, pair = counts(i, m == 1)
             scale = tokens[1] / tokens[0] if m == 0 else 1.0
             mass, loss = scale * sum(one.values()), 0.0
-            for v, w in zip([size + 1, *words], words):
-                p = (scale * one.get(w, 0) + lm_score.UNIGRAM_BACKOFF / (size + 1)) / (mass + lm_score.UNIGRAM_BACKOFF)
-                loss -= np.log((scale * pair.get(cell(v, w), 0) + lm_score.BACKOFF * p) / (scale * history.get(v, 0) + lm_score.BACKOFF))
-            assert rows[doc][name] == pytest.approx(loss / max(len(words), 1), rel=1e-3)
+            for v, w in zip(["<start>", *words], words):
+                p = (scale * one[w] + lm_score.UNIGRAM_BACKOFF / (size + 1)) / (mass + lm_score.UNIGRAM_BACKOFF)
+                loss -= np.log((scale * pair[v, w] + lm_score.BACKOFF * p) / (scale * history[v] + lm_score.BACKOFF))
+            losses.append(loss / max(len(words), 1))
+        out[i] = losses
+    return out
+
+
+@pytest.mark.parametrize("block_bytes, keys", [(8 << 20, 1_000_000), (20_000, 500)])
+def test_losses_by_brute_force(spark, monkeypatch, block_bytes, keys):
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(lm_score, "PARTITION_KEYS", keys)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    marked = lm_score.with_target(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    marked = marked.withColumn("counted", F.col("doc_id") % 7 != 0).cache()
+    texts = [(r["doc_id"], r["text"], r["in_target"], r["counted"]) for r in marked.collect()]
+    rows = {r["doc_id"]: r for r in lm_score.score_documents(marked).collect()}
+    assert len(rows) == len(texts) and any(not t[3] for t in texts)
+    some = [i for i, t in enumerate(texts) if t[3]][:5] + [i for i, t in enumerate(texts) if not t[3]][:3]
+    for i, (background, target) in brute_losses([t[1:] for t in texts], some).items():
+        row = rows[texts[i][0]]
+        assert (row["background_loss"], row["target_loss"]) == (pytest.approx(background, rel=1e-9), pytest.approx(target, rel=1e-9))
+        assert row["score"] == pytest.approx(background - target, abs=1e-9)
+
+
+def test_no_cap_on_words_or_pairs(spark):
+    """Every word that is frequent enough is in the vocabulary, however many there are."""
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 2, 80_000, 2))) for i in range(2 * lm_score.MIN_COUNT)]
+    marked = spark.createDataFrame(rows, "doc_id long, text string").withColumn("in_target", F.col("doc_id") % 2 == 0)
+    got = {r["doc_id"]: r for r in lm_score.score_documents(marked).collect()}
+    # each known word's own count, less the document's, tells the two halves apart
+    assert all((got[i]["score"] > 0.5) == (i % 2 == 0) for i in got)
+    assert {r["n_words"] for r in got.values()} == {40_000}
 
 
 def test_language_models_on_awkward_documents(awkward, empty, marks):
     marked = lm_score.with_target(awkward, marks)
-    rows = lm_score.score_documents(marked, lm_score.train(marked)).collect()
+    rows = lm_score.score_documents(marked).collect()
     assert len(rows) == awkward.count()
     assert all(r["score"] == 0 and r["n_words"] == 0 for r in rows if r["doc_id"] in (3, 4, 5))
     nothing = lm_score.with_target(awkward, marks.where("doc_id < 0"))
-    assert {round(r["score"], 9) for r in lm_score.score_documents(nothing, lm_score.train(nothing)).collect()} == {0.0}
-    void = lm_score.with_target(empty, marks)
-    assert lm_score.score_documents(void, lm_score.train(void)).count() == 0
+    assert {round(r["score"], 9) for r in lm_score.score_documents(nothing).collect()} == {0.0}
+    assert lm_score.score_documents(lm_score.with_target(empty, marks)).count() == 0
 
 
 def test_good_documents_score_higher(spark):
