@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, fields
 from typing import Optional
 
@@ -82,12 +85,33 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``materialize`` writes in this block (and thread) are deleted when it ends, but
+    those it is told to keep. For a caller that has written its result by then."""
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    _SCOPES.open.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.open.pop():
+            fs, where = _file_system(spark, path)
+            fs.delete(where, True)
+
+
+def materialize(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """Write ``df`` as Parquet into a fresh folder under the cluster's checkpoint folder and
     read it back: cuts the lineage (a lost executor re-reads files instead of replaying
-    the plan) and lets later jobs prune columns."""
+    the plan) and lets later jobs prune columns. In a ``scratch_scope`` the folder goes with
+    it, unless ``kept``."""
     from orderlens.session import scratch_path
     path = scratch_path(df.sparkSession, name)
+    if getattr(_SCOPES, "open", None) and not kept:
+        _SCOPES.open[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -71,3 +71,16 @@ def test_rewritten_inputs_are_read_again(spark, tmp_path):
     assert (once(), once(), bind_orders(spark, str(tmp_path)).count()) == (1, 1, 20)
     spark.read.parquet(f"{SF}/orders.parquet").limit(7).write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
     assert (once(), bind_orders(spark, str(tmp_path)).count()) == (2, 7)
+
+
+def test_scratch_folders_go_with_their_scope(spark):
+    import os
+    from orderlens.sources.files import materialize, scratch_scope
+    with scratch_scope(spark):
+        some = materialize(spark.range(5), "some")
+        with scratch_scope(spark):
+            inner = materialize(some.where("id > 1"), "inner")
+            result = materialize(inner.selectExpr("id * 2 as id"), "result", kept=True)
+        folders = [os.path.dirname(df.inputFiles()[0].removeprefix("file://").removeprefix("file:")) for df in (some, result)]
+        assert all(map(os.path.exists, folders)) and not os.path.exists(os.path.dirname(inner.inputFiles()[0].removeprefix("file://")))
+    assert [os.path.exists(x) for x in folders] == [False, True] and sorted(r["id"] for r in result.collect()) == [4, 6, 8]
