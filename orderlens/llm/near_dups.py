@@ -11,10 +11,11 @@ Documents of the same words are one class first; classes are compared.
 3. A pair's similarity is estimated by maximum likelihood from the numbers of greater,
    smaller and equal registers and the known set sizes. Pairs that may reach the threshold
    are verified on their full sets.
-4. Verified links make components. A bucket that still holds several components is then
-   searched in full: members outside its largest component against all members, in square
-   tiles of bounded size, estimates first, verification after. Members of one component
-   need no more links, so large groups of copies cost no more than their members.
+4. Verified links make components. Members of a bucket that still holds several are paired
+   with its most linked member; then it is searched in full: members outside its largest
+   component against all members, in square tiles of blocks of bounded size, estimates first,
+   verification after. Members of one component need no more links, so large groups of copies
+   cost no more than their members.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; null ids
 take part in no group (component null, kept); repeated rows are copies like others; ids
@@ -224,48 +225,67 @@ def _links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, pe
     return materialize(_verified(pairs, materialize(_texts(docs, wanted), "near-texts"), width, percent), "near-links")
 
 
-def _open_tiles(members: DataFrame, components: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of the buckets that hold several components, dealt to square tiles, written.
+def _with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
+    return (rows.join(components.withColumnRenamed("node", "cid"), "cid", "left")
+            .withColumn("component", F.coalesce("component", "cid")))
 
-    A tile pairs up to ``TILE`` members outside the bucket's largest component (x) with up to
-    as many of all its members (y). Hubs are done and stay out.
-    """
-    known = (members.join(components.withColumnRenamed("node", "cid"), "cid", "left")
-             .withColumn("component", F.coalesce("component", "cid")))
-    known = materialize(known, "near-members")
+
+def _other_hubs(members: DataFrame, components: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs of the members of buckets that hold several components with the bucket's most linked
+    member, where these are of different components."""
+    ends = links.select(F.col("a").alias("cid")).unionByName(links.select(F.col("b").alias("cid")))
+    degree = ends.groupBy("cid").agg(F.count(F.lit(1)).alias("degree"))
+    known = _with_component(members.select("key", "cid"), components).join(degree, "cid", "left")
+    known = materialize(known.withColumn("degree", F.coalesce("degree", F.lit(0))), "near-known")
+    hubs = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                    F.max(F.struct("degree", "cid", "component")).alias("hub"))
+    hubs = hubs.where("low <> high").select("key", F.col("hub.cid").alias("a"), F.col("hub.component").alias("of"))
+    return known.join(hubs, "key").where(F.col("component") != F.col("of")).select("a", F.col("cid").alias("b")).distinct()
+
+
+def _open_members(members: DataFrame, components: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their sketches and the numbers of
+    blocks (by: of all members, bx: of those outside the largest component), written."""
+    known = materialize(_with_component(members.select("key", "band", "cid"), components), "near-members")
     size = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     bucket = (size.groupBy("key").agg(F.sum("n").alias("n_y"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top"))
               .where((F.col("parts") > 1) & (F.col("n_y") > 2))
               .select("key", F.col("top.component").alias("major"), F.ceil(F.col("n_y") / TILE).cast("int").alias("by"),
                       F.ceil((F.col("n_y") - F.col("top.n")) / TILE).cast("int").alias("bx")))
-    rows = known.where(F.col("cid") != F.col("hub")).join(bucket, "key")
-    spread = F.xxhash64("cid")
-
-    def role(is_x: bool) -> DataFrame:
-        mine, other = ("bx", "by") if is_x else ("by", "bx")
-        chosen = rows.where(F.col("component") != F.col("major")) if is_x else rows
-        own = F.pmod(spread, F.col(mine)).cast("int")
-        tiles = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("other")
-        out = chosen.select("key", "band", "cid", "component", (F.col("component") == F.col("major")).alias("in_major"), own.alias("own"), tiles)
-        x, y = ("own", "other") if is_x else ("other", "own")
-        return out.select(F.xxhash64("key", F.col(x), F.col(y)).alias("tile"), "band", "cid", "component", "in_major", F.lit(is_x).alias("is_x"))
-    tiled = role(True).unionByName(role(False)).join(classes.select("cid", "n", "sketch"), "cid")
-    return materialize(tiled, "near-tiles")
-
-
-def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Whole tiles of sorted rows; no more than a batch and a tile is held."""
-    held = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        held = table if held is None else pa.concat_tables([held, table])
-        tile = held.column("tile").to_numpy()
-        last = len(tile) - int((tile == tile[-1]).sum()) if len(tile) else 0
-        if last:
-            yield held.slice(0, last)
-            held = held.slice(last)
-    if held is not None and held.num_rows:
-        yield held
+    rows = known.join(bucket, "key").withColumn("in_major", F.col("component") == F.col("major")).drop("major")
+    return materialize(rows.join(classes.select("cid", "n", "sketch"), "cid"), "near-open")
+
+
+def _tiles(rows: DataFrame, *more: str) -> DataFrame:
+    """key, band, xs, ys: square tiles of each open bucket.
+
+    Members are packed in blocks of about ``TILE``, once for each side, and blocks meet blocks: a
+    tile pairs a block of members outside the bucket's largest component (x) with one of all
+    its members (y)."""
+    def blocks(side: str, chosen: DataFrame) -> DataFrame:
+        spread = F.pmod(F.xxhash64("cid"), F.col(f"b{side}")).alias("block")
+        one = F.struct("cid", "component", "in_major", "n", "sketch", *more)
+        return chosen.groupBy("key", "band", spread).agg(F.collect_list(one).alias(f"{side}s")).drop("block")
+    return blocks("x", rows.where(~F.col("in_major"))).join(blocks("y", rows), ["key", "band"])
+
+
+def _opened(batch: pa.RecordBatch) -> pa.Table:
+    """The members of a batch's tiles, one row each and tile by tile, with their tile and side."""
+    sides = []
+    for name in ("xs", "ys"):
+        lists = batch.column(name)
+        held, size = lists.flatten(), lists.value_lengths().to_numpy(zero_copy_only=False)
+        tile = np.repeat(np.arange(batch.num_rows), size)
+        fields = {held.type.field(i).name: x for i, x in enumerate(held.flatten())}
+        sides.append(pa.table({"tile": tile, "is_x": np.full(len(tile), name == "xs"), "band": batch.column("band").take(pa.array(tile)), **fields}))
+    rows = pa.concat_tables(sides)
+    return rows.take(pa.array(np.argsort(rows.column("tile").to_numpy(), kind="stable"))).combine_chunks()
+
+
+def _runs(batch: pa.RecordBatch) -> Iterator[pa.Table]:
+    """The tiles of a batch, some at a time."""
+    for start in range(0, batch.num_rows, 256):
+        yield _opened(batch.slice(start, 256))
 
 
 def _tile_pairs(rows: pa.Table, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -307,17 +327,17 @@ def _rest_links(docs: DataFrame, classes: DataFrame, members: DataFrame, compone
     """Links between components within buckets, written. Pairs never leave their tile: it
     names the members that have a plausible partner, gets their texts, and verifies."""
     least = percent / 100 - ESTIMATE_SLACK
-    tiles = _open_tiles(members, components, classes)
+    open_ = _open_members(members, components, classes)
 
     def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_tile(batches):
+        for rows in (x for batch in batches for x in _runs(batch)):
             seen = np.zeros(rows.num_rows, bool)
             for left, right, _ in _tile_pairs(rows, least):
                 seen[left] = seen[right] = True
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(rows.column("cid").to_numpy()[seen]))], names=["cid"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _by_tile(batches):
+        for rows in (x for batch in batches for x in _runs(batch)):
             cid, component = rows.column("cid").to_numpy(), rows.column("component").to_numpy()
             packed, sets, parent, links = rows.column("packed"), {}, {}, []
 
@@ -343,12 +363,10 @@ def _rest_links(docs: DataFrame, classes: DataFrame, members: DataFrame, compone
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
 
-    def dealt(rows: DataFrame) -> DataFrame:
-        return rows.repartition("tile").sortWithinPartitions("tile")
-    ids = materialize(dealt(tiles).mapInArrow(involved, "cid long").distinct(), "near-involved")
+    ids = materialize(_tiles(open_).mapInArrow(involved, "cid long").distinct(), "near-involved")
     wanted = materialize(classes.select("cid", "doc_id", "h1", "h2").join(ids, "cid"), "near-wanted")
     texts = materialize(_texts(docs, wanted), "near-texts")
-    return materialize(dealt(tiles.join(texts, "cid")).mapInArrow(verify, "a long, b long"), "near-links")
+    return materialize(_tiles(open_.join(texts, "cid"), "packed").mapInArrow(verify, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -365,6 +383,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     stars = members.where(F.col("cid") != F.col("hub")).select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     links = _links(docs, comparable, stars, width, percent)
     components = materialize(connected_components(links), "near-components")
+    more = _links(docs, comparable, _other_hubs(members, components, links), width, percent)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        components = materialize(connected_components(links), "near-components")
     rest = _rest_links(docs, comparable, members, components, width, percent)
     if not rest.isEmpty():
         links = links.unionByName(rest)

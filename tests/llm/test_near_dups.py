@@ -26,7 +26,9 @@ def test_query_by_brute_force(spark):
     _check(near_dups.op4_setsketch_near_dups(spark, SF).collect(), docs, 4)
 
 
-def test_a_large_group_of_uneven_copies(spark):
+@pytest.mark.parametrize("tile", [512, 32])
+def test_a_large_group_of_uneven_copies(spark, monkeypatch, tile):
+    monkeypatch.setattr(near_dups, "TILE", tile)
     rng = random.Random(4)
     words = [f"w{rng.randrange(10 ** 6)}" for _ in range(200)]
     docs = []
