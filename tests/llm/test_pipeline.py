@@ -46,5 +46,5 @@ def test_every_operator_is_registered():
     import __spark_entry__
     queries = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(queries)
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES) and set(__spark_entry__.oracle_sql()) <= set(queries)
