@@ -127,3 +127,13 @@ def test_a_fitted_binary_model_scores_after_an_observation(spark, points):
     assert spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).count() == 5 and seen.get["n"] == 5
     model = TR.lr({"maxIter": 5}).fit(points)
     assert not model.hasSummary and TR.binary_auc(model, points) > 0.5
+
+
+@pytest.mark.parametrize("make", [TR.rf, TR.weighted_rf])
+def test_a_fitted_forest_scores_after_an_observation(spark, points, make):
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    assert spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).count() == 5 and seen.get["n"] == 5
+    train = TR.with_class_weights(points) if make is TR.weighted_rf else points
+    model = make({"numTrees": 3, "maxDepth": 3}).fit(train)
+    assert not model.hasSummary and TR.binary_auc(model, points) > 0.5
