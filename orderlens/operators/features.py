@@ -172,6 +172,12 @@ def in_window(orders: DataFrame, start: Optional[str], end: Optional[str],
     return orders.where(cond)
 
 
+def of_orders(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """The rows whose order is one of ``orders``: what is aggregated per order and then joined to
+    them shuffles no other order's rows."""
+    return rows.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def order_features(tables: Tables, start: Optional[str] = None, end: Optional[str] = None,
                    end_inclusive_day: bool = False, customer_as_of_window: bool = False,
                    per_order_customer: bool = False, write_payments: bool = True) -> DataFrame:
@@ -186,7 +192,8 @@ def order_features(tables: Tables, start: Optional[str] = None, end: Optional[st
     timed = time_features(windowed).select(
         "order_id", "customer_id", "order_status", "order_processing_time", "delivery_speed_days",
         "delivery_accuracy_days", "order_month", "order_quarter")
-    items = item_aggregates(tables.items, tables.products)
+    whole = start is None and end is None
+    items = item_aggregates(tables.items if whole else of_orders(tables.items, windowed), tables.products)
     pays = payment_aggregates(tables.payments)
     if write_payments:
         pays = materialize(pays, "order-payments")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.operators import encode, reviews as R
-from orderlens.operators.features import IMPUTE_COLUMNS, WINSOR_COLUMNS, basetable, in_window, order_features
+from orderlens.operators.features import IMPUTE_COLUMNS, WINSOR_COLUMNS, basetable, in_window, of_orders, order_features
 from orderlens.operators.prep import TEST, TRAIN, VALIDATION, Prepared, only, prepare
 from orderlens.sources.files import Tables, load_model, materialize, save_model
 
@@ -76,7 +76,8 @@ class Workflow:
 def unseen(tables: Tables, start: str, end: str) -> Tables:
     """The table set of the orders bought in a window, as if it stood alone: no reviews, and
     customer statistics see these orders only."""
-    return Tables(in_window(tables.orders, start, end), tables.items, tables.payments, tables.products)
+    orders = in_window(tables.orders, start, end)
+    return Tables(orders, of_orders(tables.items, orders), of_orders(tables.payments, orders), tables.products)
 
 
 #: An order without payment rows gets an empty type set.

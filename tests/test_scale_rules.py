@@ -9,8 +9,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderlens.operators import encode, metrics
-from orderlens.operators.features import customer_value, item_aggregates, order_features, payment_aggregates
+from orderlens.operators.features import customer_value, in_window, item_aggregates, order_features, payment_aggregates
 from orderlens.operators.quality import price_invariant
+from orderlens.plans.params import SCORE_END, SCORE_START, W_END, W_START
+from orderlens.plans.workflow import unseen
 from orderlens.session import ensure_checkpoint_dir
 from orderlens.sources.binding import bind_tables
 from tests.conftest import SF
@@ -108,3 +110,21 @@ def test_class_weights_balance_classes(spark):
     from orderlens.operators.train import WEIGHT, with_class_weights
     df = with_class_weights(spark.createDataFrame([(1.0,)] * 6 + [(2.0,)] * 2, "label double"))
     assert {r["label"]: r["w"] for r in df.groupBy("label").agg(F.sum(WEIGHT).alias("w")).collect()} == {1.0: 4.0, 2.0: 4.0}
+
+
+def test_a_window_shuffles_the_items_of_its_orders_only(spark):
+    tables = bind_tables(spark, SF)
+    few = order_features(tables, W_START, W_END, write_payments=False)
+    assert "LeftSemi" in few._jdf.queryExecution().optimizedPlan().toString()
+    every = order_features(tables, write_payments=False).join(in_window(tables.orders, W_START, W_END).select("order_id"), "order_id", "left_semi")
+    key = lambda df: sorted(((r["order_id"], r["order_item_count"], r["total_product_category"], r["n_product_items"], r["order_weight_kg"]) for r in df.collect()), key=str)
+    assert key(few) == key(every)
+
+
+def test_the_unseen_window_holds_the_rows_of_its_orders_only(spark):
+    whole = bind_tables(spark, SF)
+    part = unseen(whole, SCORE_START, SCORE_END)
+    ids = {r[0] for r in part.orders.select("order_id").collect()}
+    for rows, full in ((part.items, whole.items), (part.payments, whole.payments)):
+        seen = [r[0] for r in rows.select("order_id").collect()]
+        assert set(seen) <= ids and len(seen) == sum(r[0] in ids for r in full.select("order_id").collect()) < full.count()
