@@ -51,6 +51,14 @@ def test_held_out_rows_are_never_learned_from(spark):
         assert ids and all(zlib.crc32(str(i).encode()) % fold != held for i in ids)
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    docs = ids.select("doc_id", F.concat(F.lit("w"), F.col("doc_id") % 7).alias("text"))
+    marks = ids.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    want = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(20_000))
+    assert want > 12_000 and toxicity.labelled(docs, marks).count() == want
+
+
 def test_forward_backward_by_enumeration():
     rng = np.random.default_rng(3)
     lengths = [3, 0, 1, 5]
