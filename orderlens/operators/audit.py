@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Optional, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -48,6 +49,14 @@ def _counters(columns: Sequence[str], tol: float) -> list[Column]:
             F.count_if(equal.isNull()).alias("check_null"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]]
 
 
+def _observed(counters: Observation) -> dict:
+    """The counters, or nothing where the job found its input empty and left them out of its plan."""
+    try:
+        return counters.get
+    except Py4JJavaError:
+        return {}
+
+
 def audited_split_base(tables: Tables, reviews: DataFrame, start: Optional[str] = None, end: Optional[str] = None,
                        columns: Optional[Sequence[str]] = None, dropna_columns: Sequence[str] = ("payment_types",),
                        tol: float = 1e-6) -> tuple[DataFrame, Audit]:
@@ -59,7 +68,7 @@ def audited_split_base(tables: Tables, reviews: DataFrame, start: Optional[str]
     rows = keyed_split(dropna_subset(base, dropna_columns))
     rows = rows.observe(kept, *[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
     written = materialize(rows, "split-base")
-    counts, splits = seen.get, kept.get
+    counts, splits = _observed(seen), _observed(kept)
     if counts.get("rows") != in_window(tables.orders, start, end).count():
         counts = features.agg(*_counters(columns, tol)).first().asDict()
     if sum(splits.get(s, 0) for s in SPLITS) != written.count():  # the second is read from the files' footers
