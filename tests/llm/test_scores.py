@@ -163,3 +163,31 @@ def test_good_documents_score_higher(spark):
     marks = spark.read.parquet(f"{sf}/labels.parquet").toPandas().set_index("doc_id")
     found = lm_score.op7_cross_entropy_difference(spark, sf).toPandas().set_index("doc_id").join(marks, how="inner")
     assert auc(found["score"].tolist(), found["quality"].tolist()) > 0.68
+
+
+def test_texts_without_a_label_stay_out_of_the_join(spark):
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    ids = docs.where("doc_id % 100 = 0 or doc_id = 39999").select("doc_id", F.lit(1).alias("label"))
+    kept = {r[0] for r in toxicity.with_ids_of(docs, ids).select("doc_id").collect()}
+    assert {r[0] for r in ids.select("doc_id").collect()} <= kept and len(kept) < 500
+    other = ids.withColumn("doc_id", F.col("doc_id").cast("int"))  # an id of another type may hash apart
+    assert toxicity.with_ids_of(docs, other).count() == 40_000
+
+
+def test_labelled_rows_match_a_plain_join(spark):
+    docs = spark.createDataFrame([(i % 900 if i % 7 else None, f"text {i}") for i in range(1000)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i // 2 if i % 5 else None, i % 3) for i in range(1200)], "doc_id long, toxic int")
+    usable = marks.where("doc_id is not null and toxic in (0, 1) and crc32(cast(doc_id as string)) % 4 != 2").select("doc_id", "toxic").distinct()
+    want = docs.join(usable, "doc_id").select("doc_id", "text", "toxic").collect()
+    assert sorted(map(tuple, toxicity.labelled(docs, marks).select("doc_id", "text", "label").collect())) == sorted(map(tuple, want))
+
+
+def test_no_text_is_written_for_the_fit(spark, monkeypatch):
+    from orderlens.sources import files
+    written, real = [], files.materialize
+    monkeypatch.setattr(files, "materialize", lambda df, name, **kw: (written.append(df.columns), real(df, name, **kw))[1])
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "plain good words").otherwise("plain bad words").alias("text"))
+    model = toxicity.fit(docs, docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic")))
+    assert written and not any("text" in columns for columns in written)
+    low, high = model.score(pa.array(["plain good words", "plain bad words"]))
+    assert low < 0.5 < high
