@@ -10,10 +10,11 @@ rows are coalesced back to 0; every other statistic stays null there.
 
 from __future__ import annotations
 
-from typing import Optional
+from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.functions.columns import days_between, minutes_between, safe_ratio
 from orderlens.sources.files import Tables, materialize
@@ -47,6 +48,9 @@ WINSOR_COLUMNS = [
     "avg_prod_description_lenght", "order_payment_value", "nbr_installments", "nbr_payments_used",
 ]
 
+#: Places of the bitmap of order ids (2 ** ORDER_BITS / 64 rows are broadcast at most).
+ORDER_BITS = 26
+
 
 def time_features(orders: DataFrame) -> DataFrame:
     """Durations and calendar parts of each order (B1-B5).
@@ -118,6 +122,12 @@ def item_aggregates(items: DataFrame, products: DataFrame) -> DataFrame:
     ).drop("_total_shipping_cost", "_n_categories")
 
 
+def payment_totals(payments: DataFrame) -> DataFrame:
+    """The customer-value inputs of ``payment_aggregates`` alone: without the type sets they are plain numbers."""
+    return payments.groupBy("order_id").agg(F.sum("payment_value").alias("order_payment_value"),
+                                            F.count("payment_value").alias("_n_values"), F.count(F.lit(1)).alias("_n_rows"))
+
+
 def payment_aggregates(payments: DataFrame) -> DataFrame:
     """One row per order with a payment row (B13-B16 plus the customer-value inputs).
 
@@ -172,6 +182,22 @@ def in_window(orders: DataFrame, start: Optional[str], end: Optional[str],
     return orders.where(cond)
 
 
+def maybe_of_orders(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """The rows whose order may be one of ``orders``: all that are, and by chance of the hash some
+    others, told before any shuffle. The orders go round as a bitmap of 2 ** ORDER_BITS hashed
+    places, 64 in a row, which is bounded at any size."""
+    kind = rows.schema["order_id"].dataType
+    if kind != orders.schema["order_id"].dataType or not isinstance(kind, (T.IntegralType, T.StringType)):
+        return rows  # equal ids of other types may hash apart
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("order"), "order_id"), 64 - ORDER_BITS)
+    bit = F.expr("shiftleft(1L, CAST(__place & 63 AS INT))")
+    found = orders.select(place.alias("__place")).groupBy(F.shiftright("__place", 6).alias("__row")).agg(F.bit_or(bit).alias("__bits"))
+    placed = rows.withColumn("__place", place).withColumn("__row", F.shiftright("__place", 6))
+    # A semi join, as an exact one that follows would be moved below an inner join.
+    hit = (placed["__row"] == found["__row"]) & (found["__bits"].bitwiseAND(bit) != 0)
+    return placed.join(F.broadcast(found), hit, "left_semi").select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def of_orders(rows: DataFrame, orders: DataFrame) -> DataFrame:
     """The rows whose order is one of ``orders``: what is aggregated per order and then joined to
     them shuffles no other order's rows."""
@@ -184,25 +210,38 @@ def order_features(tables: Tables, start: Optional[str] = None, end: Optional[st
     """The independent-variable table: one row per order in the purchase window (B23).
 
     Customer features use every order unless ``customer_as_of_window`` limits them to the
-    window (the studied workflow uses all orders, including later ones). The payments of an
-    order, which the order and its customer both need, are aggregated and written once (``write_payments``);
-    tables in buckets of the order id do without that, as their aggregates need no shuffle.
+    window (the studied workflow uses all orders, including later ones): of the other orders'
+    payments they need totals only. Where the order and its customer both need the whole aggregate, it
+    is written once (``write_payments``). The customer's features join first, as the
+    other joins and the one to the reviews are all by order. Tables in buckets of the order id do
+    without both, as their aggregates and joins by order need no shuffle.
     """
     windowed = in_window(tables.orders, start, end, end_inclusive_day)
     timed = time_features(windowed).select(
         "order_id", "customer_id", "order_status", "order_processing_time", "delivery_speed_days",
         "delivery_accuracy_days", "order_month", "order_quarter")
     whole = start is None and end is None
-    items = item_aggregates(tables.items if whole else of_orders(tables.items, windowed), tables.products)
-    pays = payment_aggregates(tables.payments)
-    if write_payments:
-        pays = materialize(pays, "order-payments")
+    if whole:
+        items = tables.items
+    else:  # the exact join leaves them by order, so that their aggregate needs no shuffle by order and product
+        items = of_orders(maybe_of_orders(tables.items, windowed) if write_payments else tables.items, windowed)
+    items = item_aggregates(items, tables.products)
+    if not write_payments:
+        totals = pays = payment_aggregates(tables.payments)
+    elif whole:
+        totals = pays = materialize(payment_aggregates(tables.payments), "order-payments")
+    else:
+        # What the bitmap lets through beside the window's orders finds none in the left join.
+        pays = payment_aggregates(maybe_of_orders(tables.payments, windowed))
+        totals = payment_totals(maybe_of_orders(tables.payments, windowed) if customer_as_of_window else tables.payments)
     cust_orders = windowed if customer_as_of_window else tables.orders
-    cust = customer_value(cust_orders, pays, per_order=per_order_customer)
+    cust = customer_value(cust_orders, totals, per_order=per_order_customer)
 
-    j = (timed.join(items, "order_id", "left")
-         .join(pays.drop("_n_values", "_n_rows"), "order_id", "left")
-         .join(cust, "customer_id", "left"))
+    pays = pays.drop("_n_values", "_n_rows")
+    if write_payments:
+        j = timed.join(cust, "customer_id", "left").join(items, "order_id", "left").join(pays, "order_id", "left")
+    else:
+        j = timed.join(items, "order_id", "left").join(pays, "order_id", "left").join(cust, "customer_id", "left")
     return j.select(
         "order_id",
         "order_processing_time", "delivery_speed_days", "delivery_accuracy_days", "order_month",
@@ -225,12 +264,12 @@ def binary_label(score, threshold: float = 3.0):
 
 
 def basetable(features: DataFrame, reviews: DataFrame, threshold: float = 3.0,
-              keep_score: bool = False) -> DataFrame:
-    """Features inner-joined to deduped reviews, with the binary label (B24).
+              keep_score: bool = False, carried: Sequence[str] = ()) -> DataFrame:
+    """Features inner-joined to deduped reviews, with the binary label (B24) and the reviews' ``carried`` columns.
 
     Tied latest reviews of an order each give a row, as in the studied workflow.
     """
-    r = reviews.select("order_id", "review_score")
+    r = reviews.select("order_id", "review_score", *carried)
     out = features.join(r, "order_id", "inner").withColumn("label", binary_label(F.col("review_score"), threshold))
     return out if keep_score else out.drop("review_score")
 
