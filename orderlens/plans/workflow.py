@@ -54,7 +54,9 @@ class Workflow:
         return self._cache["assembled"]
 
     def split(self, name: str) -> DataFrame:
-        return only(self.assembled(), name).select("order_id", "features", "label")
+        """Vectors of one split. Its rows are chosen before they are encoded: the status index counts as
+        non-deterministic, so a choice made on ``assembled`` would encode the rows of all splits."""
+        return self.feature_model.transform(only(self.prepared.data, name)).select("order_id", "features", "label")
 
     # ------------------------------------------------------------ five-class task
     def multiclass(self, name: str) -> DataFrame:

@@ -3,11 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from orderlens.operators import reviews as R
 from orderlens.operators.features import customer_value, maybe_of_orders, of_orders, order_features, payment_aggregates, payment_totals
-from orderlens.operators.prep import TRAIN
+from orderlens.operators.prep import TEST, TRAIN, VALIDATION, only
+from orderlens.plans.modelling import _binary
 from orderlens.plans.params import W_END, W_START
 from orderlens.plans.workflow import Workflow
 from orderlens.sources.binding import bind_tables
@@ -80,3 +82,43 @@ def test_five_class_rows_need_no_join(spark):
     joined = wf.split(TRAIN).select("order_id", "features").join(scores, "order_id")
     key = lambda df: sorted((r["order_id"], str(r["label"])) for r in df.collect())
     assert key(rows) == key(joined) and len(key(rows)) == 2 * wf.split(TRAIN).count() > 0
+
+
+def test_a_split_is_chosen_before_its_rows_are_encoded(spark):
+    wf = Workflow(spark, bind_tables(spark, SF), W_START, W_END)
+    for name in (TRAIN, TEST, VALIDATION):
+        lines = plan(wf.split(name)).splitlines()
+        chosen = next(i for i, line in enumerate(lines) if "Filter" in line and f"= {name})" in line)
+        assert not any("UDF(" in line for line in lines[chosen:])  # the encoder's functions stand above
+        whole = only(wf.assembled(), name).select("order_id", "features", "label")
+        assert sorted(wf.split(name).collect(), key=str) == sorted(whole.collect(), key=str)
+
+
+class Splits:
+    def __init__(self, rows):
+        self.rows = rows
+
+    def split(self, name):
+        return self.rows.where(F.col("part") == name).drop("part")
+
+
+def test_the_test_split_is_scored_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def probability(i):
+        seen.add(i >= 200)
+        return i % 10 / 10
+
+    class Model:
+        def transform(self, df):
+            p = df.withColumn("p", probability("order_id"))
+            return p.withColumns({"probability": array_to_vector(F.array(1 - F.col("p"), "p")), "prediction": F.round("p")}).drop("p")
+
+        def fit(self, train):
+            return self
+    part = F.when(F.col("id") < 100, TRAIN).when(F.col("id") < 200, VALIDATION).otherwise(TEST)
+    rows = spark.range(300).select(F.col("id").alias("order_id"), (F.col("id") % 10 > 5).cast("double").alias("label"), part.alias("part"))
+    sel, measures = _binary(Splits(rows), lambda p: Model(), [{}])
+    assert sel.metric == 1.0 and measures["test_auc"] == 1.0 and measures["test_accuracy"] == 0.9  # a half rounds to 1
+    assert seen.value == 100
